@@ -1,6 +1,6 @@
 """Whole texts as UTF-8 byte arrays: numpy helpers for Arrow batches inside tasks.
 
-Every function works on a *chunk*: some consecutive rows of a batch, about ``CHUNK_BYTES`` of text
+Every function works on a *chunk*: some consecutive rows of a batch, at most ``CHUNK_ROWS`` and ``CHUNK_BYTES`` of text
 (a longer text is a chunk of its own), so that memory is bounded by the longest text, not by the batch.
 """
 
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 2048
 
 _MASK = (1 << 64) - 1
 
@@ -41,7 +42,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(at, at[i] + CHUNK_BYTES, "right")) - 1)
-        j = min(j, n)
+        j = min(j, n, i + CHUNK_ROWS)
         yield i, j, data[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j
 
