@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.llm import mixing, packing, shards
+from strandline.llm import jaccard, langid, mixing, packing, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,16 +22,29 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, model = langid.fit(docs.where(~langid.held_out()))
+    rows = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.predict(rows, langs, model).select("doc_id", "held_out", "lang_pred", "score", F.to_json("proportions").alias("proportions"))
+
+
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.interleave(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_harmonic_packing,
         op3_mix_sources,
+        op7_language_mixture,
         op8_interleaved_shards,
+        op9_jaccard_partenum,
     )
 }
 
