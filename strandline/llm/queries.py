@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import jaccard, langid, mixing, packing, shards
+from strandline.llm import ann, jaccard, langid, mixing, neardup, packing, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 
+def op5_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     langs, model = langid.fit(docs.where(~langid.held_out()))
@@ -37,14 +42,20 @@ def op9_jaccard_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op10_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_harmonic_packing,
         op3_mix_sources,
+        op5_forest_neighbours,
         op7_language_mixture,
         op8_interleaved_shards,
         op9_jaccard_partenum,
+        op10_collision_neardup,
     )
 }
 
