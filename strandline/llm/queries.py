@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import ann, jaccard, langid, mixing, neardup, packing, shards
+from strandline.llm import ann, jaccard, langid, licenses, mixing, neardup, packing, quotes, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +18,18 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_packing(table(spark, sf_dir, "documents"))
 
 
+def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 
+def op4_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"))
@@ -50,7 +58,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_harmonic_packing,
+        op2_quotation_linking,
         op3_mix_sources,
+        op4_license_diagonals,
         op5_forest_neighbours,
         op7_language_mixture,
         op8_interleaved_shards,
