@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import ann, jaccard, langid, licenses, mixing, neardup, packing, quotes, shards
+from strandline.llm import ann, jaccard, langid, licenses, mixing, neardup, packing, pii, quotes, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op5_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op6_personal_data_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.train(pii.labelled_table(spark)))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    number = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[number(k) for k in pii.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     langs, model = langid.fit(docs.where(~langid.held_out()))
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_mix_sources,
         op4_license_diagonals,
         op5_forest_neighbours,
+        op6_personal_data_crf,
         op7_language_mixture,
         op8_interleaved_shards,
         op9_jaccard_partenum,
