@@ -1,0 +1,290 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.llm import jaccard, langid, licenses, pii, quotes, textbytes
+
+DOCS = "/root/testdata/sf0.001/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(DOCS)
+
+
+def odd_rows(spark):
+    long_text = "CC BY and the long word list goes on and on " * 4000
+    rows = [(-1, None), (-2, ""), (-3, " \t\n"), (-4, "Word"), (-5, "word"), (-6, "two  Words"), (-6, "two  Words"), (None, "a null id"), (-7, long_text), (-8, "ünï ÇÔDÉ wörds \U0001f600 here"), (-9, "x" * 50000)]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit("clash"), "lang": F.lit(None).cast("string"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")})
+
+
+# --- bytes ---------------------------------------------------------------------------------------------
+
+
+def test_words_and_hashes_of_chunks():
+    texts = pa.array(["a  bc\n", None, "", "bc a", "x" * 10])
+    seen = []
+    for i, j, data, offsets in textbytes.chunks(texts.slice(1)):
+        s, e, row = textbytes.space_words(data, offsets)
+        h = textbytes.word_hashes(data, s, e)
+        seen += [(i + int(r), bytes(data[a:b]).decode(), int(x)) for a, b, r, x in zip(s, e, row, h, strict=True)]
+    assert [(r, w) for r, w, _ in seen] == [(2, "bc"), (2, "a"), (3, "x" * 10)]
+    (_, _, data, offsets), = textbytes.chunks(pa.array(["zz a bc"]))
+    s, e, _ = textbytes.space_words(data, offsets)
+    assert [int(x) for x in textbytes.word_hashes(data, s, e)][1:] == [seen[1][2], seen[0][2]]
+
+
+# --- 9: Jaccard join -----------------------------------------------------------------------------------
+
+
+def shingles(text, width):
+    t = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    return {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+def brute_groups(rows, width, percent):
+    sets = {i: shingles(t, width) for i, t in rows}
+    where: dict = {}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in sets.items():
+        common = Counter(j for g in x for j in where.get(g, ()))
+        for j, k in common.items():
+            if 100 * k >= percent * (len(x) + len(sets[j]) - k):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+        for g in x:
+            where.setdefault(g, []).append(i)
+    return {i: (len(x), find(i)) for i, x in sets.items()}
+
+
+def families(spark):
+    """Texts of one to 300 words and copies of them with more and more words changed, round the threshold."""
+    rng = np.random.default_rng(4)
+    rows, k = [], 0
+    for n in [1, 2, 3, 4, 5, 6, 7, 8, 10, 13, 20, 40, 41, 80, 150, 300]:
+        base = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+        for changes in [0, 0, 1, 1, 2, 3, n // 50, n // 25, n // 12]:
+            words = list(base)
+            for at in rng.integers(0, n, changes):
+                words[at] = f"c{rng.integers(0, 10**6)}"
+            if changes and rng.random() < 0.5:
+                words = words[: max(1, n - changes)]
+            rows.append((k, " ".join(words)))
+            k += 1
+    return spark.createDataFrame(rows, "doc_id long, text string"), rows
+
+
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
+def test_groups_are_those_of_all_pairs(spark, width, percent):
+    df, rows = families(spark)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(df, width, percent).collect()}
+    assert got == brute_groups(rows, width, percent)
+
+
+def test_groups_of_the_documents(docs):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(docs, 4, 85).collect()}
+    assert got == brute_groups([(r.doc_id, r.text) for r in docs.collect()], 4, 85)
+
+
+def test_similar_sets_share_a_signature():
+    """Pairs at the bound, of many sizes: PartEnum's promise, apart from any join."""
+    rng = np.random.default_rng(9)
+    for n in [7, 9, 14, 30, 77, 150, 333]:
+        for _ in range(12):
+            most = int(0.15 / 1.85 * 2 * n)
+            x = rng.integers(0, 2**63, n, dtype=np.uint64)
+            gone = int(rng.integers(0, most // 2 + 1))
+            y = np.concatenate([x[gone:], rng.integers(0, 2**63, most // 2 - gone if gone < most // 2 else 0, dtype=np.uint64)])
+            i, u = n - gone, len(set(x) | set(y))
+            if 100 * i < 85 * u:
+                continue
+            both = [np.sort(x), np.sort(y)]
+            row, sig = jaccard.signatures(np.concatenate(both), np.array([0, n, n + len(y)]), 85)
+            assert set(sig[row == 0]) & set(sig[row == 1]) or set(x) == set(y)
+
+
+def test_jaccard_odd_rows(spark):
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.jaccard_groups(odd_rows(spark)).collect())
+    by = {a: (n, c) for a, n, c in got}
+    assert len(got) == 11 and by["-1"] == (0, "-1") and by["-3"] == (0, "-3") and by["-4"] == (1, "-5") and by["-6"] == (1, "-6")
+    assert jaccard.jaccard_groups(odd_rows(spark).limit(0)).count() == 0
+    kept = jaccard.one_of_each(odd_rows(spark))
+    assert kept.columns == odd_rows(spark).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["-1", "-2", "-3", "-5", "-6", "None", "-7", "-8", "-9"])
+
+
+# --- 7: language ---------------------------------------------------------------------------------------
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    langs, model = langid.fit(docs.where(~langid.held_out()))
+    assert langs == ["de", "en", "es", "fr"]
+    out = langid.predict(docs.withColumn("held_out", langid.held_out()), langs, model).where("held_out").select((F.col("lang") == F.col("lang_pred")).alias("ok"), "score").collect()
+    assert len(out) > 250 and np.mean([r.ok for r in out]) > 0.98 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_mixture_proportions(spark, docs):
+    langs, model = langid.fit(docs)
+    by = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max_by("text", F.when(F.length("text") < 6000, F.length("text"))).alias("text")).collect()}
+    a, b = by["en"][:3000], by["de"][:1000]
+    df = spark.createDataFrame([(1, a + " " + b), (2, a), (3, "12 .. 34"), (4, None), (5, ""), (6, a.upper())], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(df, langs, model).collect()}
+    shares = dict(zip(langs, got[1].proportions, strict=True))
+    assert abs(shares["de"] - 0.25) < 0.08 and got[1].lang_pred == "en" and got[2].score > 0.99 and got[6].lang_pred == "en"
+    assert [got[k].lang_pred for k in (3, 4, 5)] == ["und"] * 3 and got[3].score == 0
+
+
+def test_language_without_labels_and_odd_rows(spark):
+    langs, model = langid.fit(odd_rows(spark))
+    assert langs == [] and {r.lang_pred for r in langid.predict(odd_rows(spark), langs, model).collect()} == {"und"}
+    assert langid.predict(odd_rows(spark).limit(0), langs, model).count() == 0
+
+
+# --- 6: personal data ----------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def crf(spark):
+    return pii.train(pii.labelled_table(spark))
+
+
+def plain_base(t):
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out += [("card", m.start(), m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m)) <= 15]
+    return out
+
+
+def test_base_spans(docs):
+    hard = ["a@b@c.de f..@x-.y.z @ q@ ", "1.2.3.4.5.6.7.8 0001.2.3.4 256.1.1.1", "+1 (2) 3-4567890 4 4111 1111 1111 1111 é@é.com", "@", "", "4111-1111-1111-1111x", "+1 23"]
+    for t in [*hard, *(r.text for r in docs.collect())]:
+        assert pii.base_spans(t) == plain_base(t)
+
+
+def test_crf_reads_held_out_lines(crf, spark):
+    wrong = lines = 0
+    for r in pii.labelled_table(spark, draws=4, seed=77).collect():
+        words, y = pii._labels(r.text, [(s.kind, s.start, s.end) for s in r.spans])
+        emit = (pii._rows(words) @ crf.weights)[None]
+        wrong += (crf.viterbi(emit, np.array([len(words)]))[0] != y).any()
+        lines += 1
+    assert wrong <= 0.02 * lines
+
+
+def test_viterbi_is_the_best_of_all_paths(crf):
+    from itertools import product
+
+    rng = np.random.default_rng(0)
+    emit = rng.normal(size=(3, 4, 5))
+    length = np.array([4, 2, 1])
+    got = crf.viterbi(emit, length)
+    for e, n, path in zip(emit, length, got, strict=True):
+        score = lambda p: sum(e[i, s] for i, s in enumerate(p)) + sum(crf.trans[a, b] for a, b in zip([0, *p], [*p, 0], strict=True))  # noqa: B023, E731
+        assert tuple(path[:n]) == max(product(range(5), repeat=int(n)), key=score)
+
+
+def test_cutting_the_chain_at_plain_words_changes_nothing(crf, docs):
+    for r in docs.limit(60).collect():
+        words = [m[0] for m in pii._TOKEN.finditer(r.text)]
+        if not words:
+            continue
+        states = crf.viterbi((pii._rows(words) @ crf.weights)[None], np.array([len(words)]))[0]
+        (_, _, data, offsets), = textbytes.chunks(pa.array([r.text]))
+        kinds = Counter(k for k, *_ in pii._crf_spans(crf, data, offsets)[0])
+        whole = Counter()
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], states, [0]])))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if states[a] and pii._plausible(pii.STATES[states[a]], " ".join(words[a:b])):
+                whole[pii.STATES[states[a]]] += 1
+        assert kinds == whole
+
+
+def test_crf_adds_spans_and_masks(crf, spark):
+    rows = [(1, "call (555) 123-4567 or +1 (017) 555-7713, mail joe (at) site (dot) com é", 5), (2, None, None), (3, "nothing at all here, version 1.2.3 of 2024", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in pii.find(df, crf).collect()}
+    assert [s.kind for s in got[1].base] == ["phone"] and [s.kind for s in got[1].spans] == ["email", "phone", "phone"]
+    assert rows[0][1][got[1].spans[0].start : got[1].spans[0].end] == "joe (at) site (dot) com"
+    assert got[2].spans == [] and got[3].spans == []
+    masked = {r.doc_id: (r.text, r.n_chars) for r in pii.masked(df, crf).collect()}
+    text = "call <phone> or <phone>, mail <email> é"
+    assert masked[1] == (text, len(text)) and masked[2] == (None, None) and masked[3] == (rows[2][1], 1)
+
+
+def test_personal_data_odd_rows(spark, crf):
+    odd = odd_rows(spark)
+    assert pii.find(odd, crf).count() == 11 and pii.find(odd.limit(0), crf).count() == 0
+    assert pii.masked(odd, crf).columns == odd.columns
+
+
+# --- 4: licenses ---------------------------------------------------------------------------------------
+
+
+def test_license_base_is_a_plain_scan(spark, docs):
+    both = docs.select("doc_id", "text").union(odd_rows(spark).select("doc_id", "text"))
+    phrases = [(p.split(), label) for p, label in licenses.PHRASES]
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(both).collect())
+    want = Counter()
+    for r in both.collect():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate({c: c + 32 for c in range(65, 91)}))
+        at = [(i, label) for p, label in phrases for i in range(len(w)) if w[i : i + len(p)] == p]
+        want[r.doc_id, len(w), len(at), min(at)[0] if at else None, max(at)[0] if at else None, ",".join(sorted({x for _, x in at}))] += 1
+    assert got == want
+
+
+def test_notices_with_gaps_and_changes(spark):
+    texts = ["Released under the MIT License.", "x permission is hereby granted, free of any charge, to any person obtaining copy of this software and associated docs files", "licensed under the moon", "CC BY", "permission is hereby granted"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [got[i].labels for i in range(5)] == ["mit", "mit", "", "cc-by", ""]
+    assert got[0].score == 1.0 and 0.7 <= got[1].score < 1 and got[1].spans.startswith("mit:1:") and got[2].score == 0
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
+# --- 2: quotes -----------------------------------------------------------------------------------------
+
+
+def test_quotes_link_and_order(spark):
+    rows = [
+        (1, 0, "user", "Hello there.\nHow are you?"),
+        (1, 1, "assistant", "> Hello   there!\n> How are you\n\nFine."),
+        (2, 0, "user", "other"),
+        (2, 1, "user", ">> Hello there.\n> Fine.\nNice"),
+        (5, 3, "user", "> Nice\nup"),
+        (5, 4, "user", "then"),
+        (None, 1, "user", "> Nice"),
+        (3, 0, "user", None),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.linked(df).collect()}
+    assert len(got) == 8
+    up = lambda c, t: (got[c, t].parent_conv, got[c, t].parent_turn, got[c, t].root_conv, got[c, t].depth, got[c, t].position)
+    assert up(1, 1) == (1, 0, 1, 1, 2) and up(2, 1) == (1, 1, 1, 2, 3) and up(5, 3) == (2, 1, 1, 3, 4) and up(5, 4) == (5, 3, 1, 4, 5)
+    assert got[2, 1].body == "Nice" and got[2, 1].deepest == 2 and got[3, 0].body is None and got[None, 1].position == 1
+    threads = {r.root_conv: [t.content for t in r.turns] for r in quotes.conversations(df).collect()}
+    assert threads[1] == ["Hello there.\nHow are you?", "Fine.", "Nice", "up", "then"]
+    assert quotes.linked(df.limit(0)).count() == 0
+
+
+def test_plain_conversations_keep_their_turns(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    got = quotes.linked(df).collect()
+    assert len(got) == df.count() and all(r.root_conv == r.conv_id and r.position == r.depth + 1 for r in got)
