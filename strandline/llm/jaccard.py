@@ -6,15 +6,17 @@ is hashed into n1 parts of n2 = 2 sub-parts. Of two sets within distance k, some
 feature at most, so leaving out one of its sub-parts makes both agree on the rest: that rest is a
 signature, and two sets that are similar enough share one.
 
-What makes the guarantee hold with signatures of real features only: with ``slack`` more parts than the
-bound asks for, at least ``slack + 1`` parts qualify, so a pair is missed only if both sets have more than
-``slack`` empty rests. A set with that many repeats its signatures under another hashing, and the last
-one keeps its empty rests too.
+What makes the guarantee hold with signatures of real features only: say that z parts of a pair agree and
+o parts differ by one feature. The rest differ by two and more, so z + o / 2 >= n1 - k / 2, which is over
+``slack`` when n1 has ``slack`` parts more than the bound asks for. The pair is missed only if those z
+parts are empty and those o parts have an empty rest, so that both sets have 2 z + o > 2 ``slack`` empty
+sub-parts. A set with that many repeats its signatures under another hashing, and the last one keeps
+its empty rests too.
 
 Sets are known by a 64-bit hash (a node), so copies are one node, however many there are. In each group
-that shares a signature every node is first compared with the least one; only where that leaves a group
-in several components are its pairs across components compared. So no link between components goes
-unseen, and a group of near copies costs its size, not its square.
+that shares a signature every node is first compared with the least one, then a few times with a neighbour
+in random order; only where that leaves a group in several components are all of its pairs across
+components compared. So no link between components goes unseen, and a group of near copies costs its size.
 """
 
 from __future__ import annotations
@@ -30,10 +32,14 @@ from strandline.functions.staging import staged
 from strandline.llm.textbytes import chunks, lower_ascii, mix64, space_words, word_hashes
 from strandline.operators.graph import connected_components
 
-BAND = 1.7
+BAND = 1.4
 SUBPARTS = 2
 HASHINGS = 6
-SKETCH_LONGS = 8
+STARS = 3
+#: Longs of a set's parity sketch, and of the wide one that sets of at least LARGE members have besides.
+SKETCH_LONGS = 16
+WIDE_LONGS = 64
+LARGE = 400
 #: Bits of the map of nodes that share a signature: 4 MB, whatever the input.
 MAP_BITS = 1 << 25
 
@@ -74,10 +80,10 @@ def _node_ids(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix64(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
-def _sketches(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Parity of the number of members in each of 512 hash slots: two sketches differ in no more bits
+def _sketches(x: np.ndarray, at: np.ndarray, longs: int) -> np.ndarray:
+    """Parity of the number of members in each of 64 * longs hash slots: two sketches differ in no more bits
     than the sets' Hamming distance."""
-    n, bits = len(at) - 1, 64 * SKETCH_LONGS
+    n, bits = len(at) - 1, 64 * longs
     row = np.repeat(np.arange(n), np.diff(at))
     slot = (mix64(x ^ np.uint64(77)) & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(row * bits + slot, minlength=n * bits) & 1).astype(np.uint8)
@@ -112,7 +118,7 @@ def signatures(x: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
         top = np.array([*low[1:], low[-1]])[band] - 1
         k = 2 * top * (100 - percent) // (100 + percent)
         base = (k + 2) // 2
-        slack = 1 + base // 8
+        slack = 1 + base // 5
         todo = np.flatnonzero(k > 0)
         for hashing in range(HASHINGS):
             if not len(todo):
@@ -160,23 +166,28 @@ def _one_hashing(x, at, rows, band, parts, slack, hashing: int, last: bool):
         keep = np.ones(n, bool) if last else rest > 0
         out_row.append(rows[row[keep]])
         out_sig.append(mix64(mix64(tag[keep] * np.uint64(SUBPARTS) + np.uint64(j)) + total[keep] - sums[j][keep]).view(np.int64))
-    return (np.concatenate(out_row), np.concatenate(out_sig)), np.flatnonzero(bare > slack)
+    return (np.concatenate(out_row), np.concatenate(out_sig)), np.flatnonzero(bare > 2 * slack)
+
+
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("key")
 
 
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, node (null for an empty set), sketch."""
+    """doc_id, key, n, node (null for an empty set), sketch, wide (of large sets, else empty); key is a hash of doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in chunks(batch.column(1)):
+            for i, j, data, offsets in chunks(batch.column(2)):
                 x, at = shingle_hashes(data, offsets, width)
                 sizes = np.diff(at)
-                sketch = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_LONGS, pa.int32()), pa.array(_sketches(x, at).ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(sizes), pa.array(_node_ids(x, at), mask=sizes == 0), sketch], names=["doc_id", "n", "node", "sketch"]
-                )
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_LONGS, pa.int32()), pa.array(_sketches(x, at, SKETCH_LONGS).ravel()))
+                ends = np.concatenate([[0], np.cumsum(np.where(sizes >= LARGE, WIDE_LONGS, 0))])
+                wide = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_sketches(*_take(x, at, np.flatnonzero(sizes >= LARGE)), WIDE_LONGS).ravel()))
+                columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), pa.array(_node_ids(x, at), mask=sizes == 0), sketch, wide]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "node", "sketch", "wide"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, sketch array<long>")
+    return docs.select("doc_id", row_key(), "text").mapInArrow(run, "doc_id long, key long, n long, node long, sketch array<long>, wide array<long>")
 
 
 def _fresh(seen: set, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -237,17 +248,40 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.where(F.getbit("_byte", hit) == 1).drop("bucket", "bits", "_bit", "_byte")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that link: sizes and sketches rule out what they can, the sets decide."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    most = F.expr(f"((na + nb) * {100 - percent}) div {100 + percent}")
-    apart: Column = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_LONGS)), F.lit(0))
-    near = pairs.join(a, "a").join(b, "b").where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (apart <= most)).select("a", "b", "na", "nb")
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """False where sizes or parities rule out a link of the nodes with columns ``{a}_n`` and so on."""
+    n, m, u, v = F.col(f"{a}_n"), F.col(f"{b}_n"), F.col(f"{a}_wide"), F.col(f"{b}_wide")
+    within = lambda bits: bits * (100 + percent) <= (n + m) * (100 - percent)
+    differ = lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    odd: Column = sum((differ(F.col(f"{a}_sketch")[i], F.col(f"{b}_sketch")[i]) for i in range(SKETCH_LONGS)), F.lit(0))
+    more = F.aggregate(F.zip_with(u, v, differ), F.lit(0), lambda t, k: t + k)
+    wide = F.when((F.size(u) > 0) & (F.size(v) > 0), within(more)).otherwise(F.lit(True))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & within(odd) & wide
+
+
+def _sets_of(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """node, shingles of the given nodes (and a few more), read from the texts."""
+    return staged(_among(_set_rows(docs, width), nodes.distinct()).dropDuplicates(["node"]))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) that link: sizes and sketches rule out what they can, the sets decide on the rest.
+
+    Without ``sets``, only those of pairs that are left are read from the texts and moved.
+    """
+    # only the nodes asked for are moved
+    some = staged(_among(nodes.select("node", "n", "sketch", "wide"), pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
+    side = lambda k: some.select(F.col("node").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("n", "sketch", "wide")])
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b", percent))
+    near = staged(near.select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
+    if near.isEmpty():
+        return near.select("a", "b")
+    if sets is None:
+        sets = _sets_of(near.select(F.col("a").alias("node")).union(near.select("b")), docs, width)
     both = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
     same = F.size(F.array_intersect("xa", "xb"))
-    return both.withColumn("i", same).where((100 + percent) * F.col("i") >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+    return staged(both.withColumn("i", same).where((100 + percent) * F.col("i") >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -259,23 +293,67 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     ``100 * |A & B| >= percent * |A | B|``. component_id is the smallest doc_id reachable by links.
     Repeated rows and ids are taken as they come. Other columns are not read.
     """
+    return _grouped(docs, width, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row of the smallest doc_id stays.
+
+    Rows of that doc_id that are alike in their texts count as one, whichever it is; a component's further
+    rows of that doc_id with other texts go. What goes is known by (doc_id, text) and taken out by an
+    anti-join, so texts that stay are moved only if what goes is too much to broadcast.
+    """
+    rows = staged(_grouped(docs, width, percent).select("key", "doc_id", "component_id", F.col("n") > 0))
+    rows = rows.toDF("key", "doc_id", "component_id", "has")
+    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = Window.partitionBy("component_id").orderBy("key")
+    heads = rows.where(same & F.col("has")).groupBy("component_id", "key").count()
+    heads = heads.withColumn("_r", F.row_number().over(first))
+    gone = rows.where(~same).select("key").union(heads.where("_r > 1").select("key")).distinct()
+    again = heads.where("_r = 1 and count > 1").select("key")
+    keyed = docs.withColumn("key", row_key())
+    kept = keyed.join(gone.union(again), "key", "left_anti").select(*docs.columns)
+    return kept.union(keyed.join(again, "key", "left_semi").dropDuplicates(["key"]).select(*docs.columns))
+
+
+def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """sig, node, c (component so far) of the groups of three and more nodes that are in several components."""
+    known = shared.select("sig", "node").distinct().join(found, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
+    some = known.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi and k > 2")
+    return known.join(some.select("sig"), "sig")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, key, n, component_id for each row."""
     members = staged(_summaries(docs, width))
-    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
     nodes = staged(nodes)
     by_sig = Window.partitionBy("sig").orderBy("node")
     rows = _signature_rows(docs, width, percent)
     rows = rows.select("sig", "node", F.first("node").over(by_sig).alias("least"), F.lead("node").over(by_sig).alias("next"))
     shared = staged(rows.where("node <> least or (next is not null and next <> node)").select("sig", "node", "least"))
-    sets = staged(_among(_set_rows(docs, width), shared.select("node").distinct()).dropDuplicates(["node"]))
     pairs = shared.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(_verified(pairs, nodes, sets, percent))
+    links = _verified(pairs, nodes, docs, width, percent)
     found = staged(connected_components(links))
-    known = shared.select("sig", "node").distinct().join(found, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
-    open_ = known.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi and k > 2").select("sig")
-    left = staged(known.join(open_, "sig"))
-    more = left.select("sig", F.col("node").alias("a"), F.col("c").alias("ca")).join(left.select("sig", F.col("node").alias("b"), F.col("c").alias("cb")), "sig")
-    more = more.where("a < b and ca <> cb").select("a", "b").distinct()
-    extra = staged(_verified(more, nodes, sets, percent))
+    # each node with a few neighbours of other components, by orders of the group that are random
+    left = staged(_open(shared, found))
+    sets = _sets_of(left.select("node"), docs, width)
+    some = None
+    for k in range(STARS):
+        mixed = Window.partitionBy("sig").orderBy(F.xxhash64(F.lit(k), "node"), "node")
+        one = left.withColumn("p", F.lag(F.struct("node", "c")).over(mixed)).where("p.c <> c")
+        one = one.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        some = one if some is None else some.union(one)
+    fresh = _verified(some.distinct(), nodes, docs, width, percent, sets)
+    if not fresh.isEmpty():
+        links = links.union(fresh)
+        found = staged(connected_components(links))
+    # what is left: pairs across components are tested where they meet, by size and parity, and few leave the join
+    left = staged(_open(shared, found).join(nodes.select("node", "n", "sketch", "wide"), "node"))
+    side = lambda k: left.select(*[F.col(c).alias(f"{k}_{c}") for c in ("sig", "node", "c", "n", "sketch", "wide")])
+    pair = (F.col("a_sig") == F.col("b_sig")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
+    more = side("a").join(side("b"), pair & _may_link("a", "b", percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    extra = _verified(more, nodes, docs, width, percent, sets)
     if not extra.isEmpty():
         found = staged(connected_components(links.union(extra)))
     ids = nodes.select("node", "rep").join(found, "node")
@@ -283,5 +361,5 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     linked = ids.select("node", "component").join(least, "component").select("node", "component_id")
     alone = nodes.join(found, "node", "left_anti").select("node", F.col("rep").alias("component_id"))
     named = linked.union(alone)
-    out = members.where("node is not null").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.union(members.where("node is null").select("doc_id", F.col("n"), F.col("doc_id")))
+    out = members.where("node is not null").join(named, "node").select("doc_id", "key", "n", "component_id")
+    return out.union(members.where("node is null").select("doc_id", "key", "n", F.col("doc_id")))
