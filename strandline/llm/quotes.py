@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from strandline.functions.staging import staged
 
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
+#: A line of more different profiles than this is looked through only where others do not decide.
+FEW = 64
 
 
 def quote_depth(line: Column) -> Column:
@@ -26,6 +28,58 @@ def normalised(line: Column) -> Column:
     return F.regexp_replace(bare, r"^[\s\p{Punct}]+|[\s\p{Punct}]+$", "")
 
 
+def _linked_lines(quoted: DataFrame, stands: DataFrame) -> DataFrame:
+    """The rows of ``quoted`` (conv_id, turn, h, count) whose line stands in an earlier message, with ``same``: one
+    of the same conversation."""
+    source = stands.groupBy("h", F.col("parent_conv").alias("conv_id")).agg(F.min("parent_turn").alias("t"))
+    near = quoted.join(source, ["conv_id", "h"]).where("t < turn").select(*quoted.columns)
+    least = source.groupBy("h").agg(F.min(F.struct("t", "conv_id")).alias("s"))
+    rest = quoted.join(near, ["conv_id", "turn", "h"], "left_anti")
+    far = rest.join(least, "h").where(F.col("s") < F.struct(F.col("turn").alias("t"), "conv_id")).select(*quoted.columns)
+    return near.withColumn("same", F.lit(True)).union(far.withColumn("same", F.lit(False)))
+
+
+def _most_of_lines(links: DataFrame, stands: DataFrame) -> DataFrame:
+    """conv_id, turn, p (parent_conv, parent_turn): the earlier message in which most of a reply's linked lines stand,
+    then the earliest; one of the reply's own conversation if any line stands in one.
+
+    Of messages with the same quoted lines only the earliest can win, so candidates are such profiles. A reply
+    meets those that share a line of few profiles with it; all its lines count for them. Only where the lines of
+    many profiles might outvote these (they are as many as the best's votes, or more) are profiles of such lines
+    alone, which are few, looked through too.
+    """
+    reply, scope = ["conv_id", "turn"], ["same", "g"]
+    own = links.groupBy(*reply).agg(F.max("same").alias("same"))
+    asked = links.join(own, [*reply, "same"]).withColumn("g", F.when(F.col("same"), F.col("conv_id")).otherwise(F.lit(0)))
+    asked = staged(asked.select(*scope, *reply, "h", "count"))
+    wanted = asked.select(*scope, "h").distinct()
+    near = stands.withColumn("same", F.lit(True)).withColumn("g", F.col("parent_conv"))
+    far = stands.withColumn("same", F.lit(False)).withColumn("g", F.lit(0).cast("long"))
+    source = near.union(far).join(wanted, [*scope, "h"], "left_semi")
+
+    def profiles(rows: DataFrame, by: list[str], first: Column) -> DataFrame:
+        """same, g, p, e, h: the lines h of each set of lines p, and the earliest message e that has it."""
+        sets = rows.groupBy(*scope, *by).agg(F.array_sort(F.collect_set("h")).alias("hs"), F.min(first).alias("e"))
+        sets = sets.groupBy(*scope, "hs").agg(F.min("e").alias("e"))
+        return sets.select(*scope, F.xxhash64("hs").alias("p"), "e", F.explode("hs").alias("h"))
+
+    met = staged(profiles(source, ["parent_conv", "parent_turn"], F.struct(F.col("parent_turn").alias("turn"), F.col("parent_conv").alias("conv_id"))))
+    many = staged(met.groupBy(*scope, "h").count().where(F.col("count") > FEW).select(*scope, "h"))
+    earlier = F.col("e") < F.struct("turn", "conv_id")
+    pair = [*scope, *reply, "p", "e"]
+    rare = asked.join(many, [*scope, "h"], "left_anti").join(met, [*scope, "h"]).where(earlier).select(*pair, "count")
+    often = staged(asked.join(many, [*scope, "h"], "left_semi"))
+    more = rare.select(*pair).distinct().join(often, [*scope, *reply]).join(met.select(*scope, "p", "h"), [*scope, "p", "h"], "left_semi").select(*pair, "count")
+    votes = staged(rare.union(more).groupBy(*pair).agg(F.sum("count").alias("votes")))
+    best = votes.groupBy(*reply).agg(F.max("votes").alias("best"))
+    beyond = often.groupBy(*reply).agg(F.sum("count").alias("most")).join(best, reply, "left").where("best is null or most >= best").select(*reply)
+    common = profiles(met.join(many, [*scope, "h"], "left_semi"), ["p"], F.col("e"))
+    rest = often.join(beyond, reply, "left_semi").join(common, [*scope, "h"]).where(earlier).groupBy(*pair).agg(F.sum("count").alias("votes"))
+    rank = F.struct("votes", (-F.col("e.turn")).alias("t"), (-F.col("e.conv_id")).alias("c"))
+    parent = F.struct(F.col("e.conv_id").alias("parent_conv"), F.col("e.turn").alias("parent_turn"))
+    return votes.union(rest).groupBy(*reply).agg(F.max_by(parent, rank).alias("p"))
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, n_quoted, deepest, n_linked, parent_conv, parent_turn, root_conv, root_turn,
     depth, position: one row for each row of ``messages`` (conv_id, turn, role, text).
@@ -45,16 +99,11 @@ def linked(messages: DataFrame) -> DataFrame:
     quoted = lines.where("d > 0")
     # hashes are unique here, so a line that half of all messages quote is looked up once a message at most
     first = quoted.where("d = 1").groupBy("conv_id", "turn", "h").count()
-    source = lines.where("d = 0").groupBy("h", "conv_id").agg(F.min("turn").alias("t"))
-    here = source.withColumnRenamed("t", "parent_turn").withColumn("parent_conv", F.col("conv_id"))
-    near = first.join(here, ["conv_id", "h"]).where("parent_turn < turn")
-    least = source.groupBy("h").agg(F.min(F.struct("t", "conv_id")).alias("s")).select("h", F.col("s.t").alias("parent_turn"), F.col("s.conv_id").alias("parent_conv"))
-    rest = first.join(near.select("conv_id", "turn", "h"), ["conv_id", "turn", "h"], "left_anti")
-    far = rest.join(least, "h").where(F.struct("parent_turn", "parent_conv") < F.struct("turn", "conv_id"))
-    cols = ["conv_id", "turn", "count", "parent_conv", "parent_turn"]
-    votes = near.select(*cols).union(far.select(*cols)).groupBy("conv_id", "turn", "parent_conv", "parent_turn").agg(F.sum("count").alias("votes"))
-    rank = F.struct((F.col("parent_conv") == F.col("conv_id")).alias("same"), F.col("votes"), (-F.col("parent_turn")).alias("t"), (-F.col("parent_conv")).alias("c"))
-    chosen = votes.groupBy("conv_id", "turn").agg(F.max_by(F.struct("parent_conv", "parent_turn"), rank).alias("p"), F.sum("votes").alias("n_linked"))
+    stands = lines.where("d = 0").select("h", "conv_id", "turn").distinct().join(first.select("h").distinct(), "h", "left_semi")
+    stands = staged(stands.select("h", F.col("conv_id").alias("parent_conv"), F.col("turn").alias("parent_turn")))
+    links = staged(_linked_lines(first, stands))
+    n_linked = links.groupBy("conv_id", "turn").agg(F.sum("count").alias("n_linked"))
+    chosen = _most_of_lines(links, stands).join(n_linked, ["conv_id", "turn"])
     stats = quoted.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_quoted"), F.max("d").alias("deepest"))
 
     nodes = own.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()

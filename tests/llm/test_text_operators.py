@@ -284,6 +284,32 @@ def test_quotes_link_and_order(spark):
     assert quotes.linked(df.limit(0)).count() == 0
 
 
+def test_parent_is_the_message_with_most_of_the_lines(spark, monkeypatch):
+    said = [(0, "Hi all\nThanks"), (1, "Hi all\nThanks\nThe key point"), (2, "> Hi all\n> Thanks\n> The key point\nyes")]
+    df = spark.createDataFrame([(1, t, "u", x) for t, x in said], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.linked(df).collect()}
+    assert (got[2].parent_conv, got[2].parent_turn, got[2].n_linked) == (1, 1, 3)
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for t in range(25):
+        for c in range(3):
+            pick = lambda low: [f"line {x}" for x in low + rng.integers(0, 7, rng.integers(0, 5))]
+            text = [f"> {x}" for x in pick(2 * c)] + pick(3 * (c // 2))
+            rows.append((c, t, "u", "\n".join(text)))
+    at = {(t, c): x.split("\n") for c, t, _, x in rows}
+    has = {k: {x for x in v if x.startswith("line")} for k, v in at.items()}
+    want = {}
+    for (t, c), text in at.items():
+        votes = {k: sum(x[2:] in has[k] for x in text if x.startswith(">")) for k in at if k < (t, c)}
+        rank = max(((k[1] == c, v, -k[0], -k[1]) for k, v in votes.items() if v), default=None)
+        want[c, t] = (-rank[3], -rank[2]) if rank else (c, t - 1) if t else (None, None)
+    df = spark.createDataFrame(rows, df.schema)
+    for few in (64, 2, 0):
+        monkeypatch.setattr(quotes, "FEW", few)
+        assert {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in quotes.linked(df).collect()} == want
+
+
 def test_plain_conversations_keep_their_turns(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     got = quotes.linked(df).collect()
