@@ -310,6 +310,28 @@ def test_parent_is_the_message_with_most_of_the_lines(spark, monkeypatch):
         assert {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in quotes.linked(df).collect()} == want
 
 
+def test_deeper_quotes_and_wrapped_passages_link(spark):
+    rows = [
+        (1, 0, "u", "The first point, as made by us."),
+        (1, 1, "u", "> The first point, as made by us.\nAgreed"),
+        (1, 2, "u", "something else"),
+        (1, 3, "u", ">> The first point, as made by us.\nso"),
+        (2, 0, "u", "The quick, brown fox jumps over the lazy dog and runs\nfar away."),
+        (2, 1, "u", "no fox"),
+        (2, 2, "u", "> The quick, brown\n> fox jumps over the lazy dog\n> and\n> runs far away.\nWell"),
+        (2, 3, "u", "yes"),
+        (2, 4, "u", ">> The quick,\n>> brown fox jumps over\nnested"),
+        (3, 0, "u", "Only the author has it."),
+        (3, 1, "u", "between"),
+        (3, 2, "u", ">>> Only the author has it."),
+    ]
+    got = {(r.conv_id, r.turn): r for r in quotes.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    up = {k: (r.parent_conv, r.parent_turn) for k, r in got.items()}
+    assert up[1, 1] == (1, 0) and up[1, 3] == (1, 1)
+    assert up[2, 2] == (2, 0) and got[2, 2].n_linked == 4 and up[2, 4] == (2, 2)
+    assert up[3, 2] == (3, 0) and up[2, 1] == (2, 0) and up[2, 3] == (2, 2)
+
+
 def test_plain_conversations_keep_their_turns(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     got = quotes.linked(df).collect()
