@@ -113,6 +113,14 @@ def reference_buffer(vertices: DataFrame, georef: list[float], n_rows: int, n_co
     return dilated(at, math.ceil(max_dist / abs(georef[1])), n_rows, n_cols, by)
 
 
+def grid_over(vertices: DataFrame, georef: list[float], max_dist: float) -> tuple[int, int]:
+    """Rows and columns of the grid from pixel (0, 0) that holds every vertex and its buffer."""
+    row, col = geo.world_to_pixel("x", "y", georef)
+    last = vertices.agg(F.max(F.round(row)).alias("row"), F.max(F.round(col)).alias("col")).first()
+    more = math.ceil(max_dist / abs(georef[1])) + 1
+    return int(last.row or 0) + more, int(last.col or 0) + more
+
+
 def line_buffer(pixels: DataFrame, vertices: DataFrame, georef: list[float], max_dist: float = 100) -> DataFrame:
     """Pixels (scene_id, row, col) whose centre is within ``max_dist`` of the reference lines (line_id, seq, x, y).
 

@@ -365,7 +365,9 @@ SELECT DISTINCT CAST(r + dr AS BIGINT) AS row, CAST(c + dc AS BIGINT) AS col FRO
 
 @query(_BUFFER, "reference_vertex")
 def reference_buffer(spark, sf_dir):
-    b = masks.reference_buffer(view(spark, sf_dir, "reference_vertex"), [0.0, 3.0, 0.0, 0.0, 0.0, 3.0], 64, 4000, 10)
+    vertices, georef = view(spark, sf_dir, "reference_vertex"), [0.0, 3.0, 0.0, 0.0, 0.0, 3.0]
+    n_rows, n_cols = masks.grid_over(vertices, georef, 10)
+    b = masks.reference_buffer(vertices, georef, max(64, n_rows), max(4000, n_cols), 10)
     return b.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
 
 

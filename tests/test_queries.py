@@ -40,3 +40,11 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(set(shore.QUERIES) - set(shore.ORACLE_SQL)))
 def test_other_queries_have_rows(spark, name):
     assert shore.QUERIES[name](spark, SF).count() > 0
+
+
+def test_reference_buffer_holds_every_vertex(spark, tmp_path):
+    at = [1, 119, 120, 121, 1000, 250000]
+    spark.createDataFrame([(k,) for k in at], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = {(r.row, r.col) for r in shore.QUERIES["reference_buffer"](spark, str(tmp_path)).collect()}
+    middle = [(round((90 + 10 * (k % 3)) / 3), round(100 * k / 3)) for k in at]
+    assert got == {(r + i, c + j) for r, c in middle for i in range(-4, 5) for j in range(-4, 5) if i * i + j * j <= 16}
