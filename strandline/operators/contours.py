@@ -124,8 +124,7 @@ def shorelines(
     """scene_id, [date,] contour_id, part, seq, x, y: shorelines of all scenes at once.
 
     labels (scene_id, row, col, label) and mask (scene_id, row, col, shadow, cloud, nodata). Small patches of
-    land and of water are turned over, pixels under cloud, without data or outside ``buffer`` (scene_id, row,
-    col) are blanked, contours traced and brought to world coordinates; contours that are too short go,
+    land become water, pixels under cloud, without data or outside ``buffer`` (scene_id, row, col) are blanked, contours traced and brought to world coordinates; contours that are too short go,
     vertices near missing data or clouds go, what is then too short goes. A line whose middle went keeps
     its two sides as one line. Scenes without a mask drop out, as do scenes where nothing is left.
     """

@@ -423,8 +423,12 @@ def land_contours(spark, sf_dir):
 
 @query()
 def shoreline_pipeline(spark, sf_dir):
-    udm = view(spark, sf_dir, "udm_pixel").withColumn("shadow", F.lit(False)).withColumn("cloud", F.col("cloud") & (F.col("qa") % 8 == 0))
-    return contours.shorelines(view(spark, sf_dir, "label_pixel"), udm, GEOREF, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6)
+    # cloud and shadow are one mask to the operator; its specks go together, wherever they are
+    udm = view(spark, sf_dir, "udm_pixel").withColumn("cloud", masks.cloud_or_shadow()).withColumn("shadow", F.lit(False))
+    udm = masks.without_specks(udm, "cloud", 40)
+    pixels = view(spark, sf_dir, "label_pixel")
+    buffer = masks.line_buffer(pixels.select("scene_id", "row", "col"), view(spark, sf_dir, "reference_vertex"), [0.0, 3.0, 0.0, 0.0, 0.0, 3.0], 100)
+    return contours.shorelines(pixels, udm, GEOREF, buffer=buffer, least_patch=100, least_length=30)
 
 
 @query()

@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -48,3 +49,66 @@ def test_reference_buffer_holds_every_vertex(spark, tmp_path):
     got = {(r.row, r.col) for r in shore.QUERIES["reference_buffer"](spark, str(tmp_path)).collect()}
     middle = [(round((90 + 10 * (k % 3)) / 3), round(100 * k / 3)) for k in at]
     assert got == {(r + i, c + j) for r, c in middle for i in range(-4, 5) for j in range(-4, 5) if i * i + j * j <= 16}
+
+
+def _fixture(spark, path, v):
+    """Scenes of 64 x 64 values v (scene, row, col) as the table that the pixel views read."""
+    rows = [(s * 64 + r, [float(x) for x in v[s, r]]) for s in range(len(v)) for r in range(64)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
+
+
+def _patches(true):
+    """4-connected patches of true pixels, each as a list of (row, col)."""
+    left, out = set(map(tuple, np.argwhere(true).tolist())), []
+    while left:
+        stack, own = [left.pop()], []
+        while stack:
+            r, c = stack.pop()
+            own.append((r, c))
+            for q in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                if q in left:
+                    left.remove(q)
+                    stack.append(q)
+        out.append(own)
+    return out
+
+
+def _without(true, least):
+    out = true.copy()
+    for p in _patches(true):
+        if len(p) < least:
+            out[tuple(zip(*p, strict=True))] = False
+    return out
+
+
+def test_shoreline_pipeline_by_brute_force(spark, tmp_path):
+    cloud, shadow = 4018 / 4000 - 1, 3996 / 4000 - 1
+    v = np.zeros((4, 64, 64))
+    v[0, 10, 20], v[0, 30, 40] = cloud, shadow  # specks
+    v[1, 0:8, 34:42] = cloud
+    v[2, 56:64, 10:18] = shadow
+    v[3, 50:, :32] = 2.0  # land, in part outside the buffer
+    v[3, 5:8, 5:8] = 2.0  # a small patch of land
+    _fixture(spark, tmp_path, v)
+    spark.createDataFrame([(1,), (2,), (3,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    ends = np.array([(100.0 * k, 90.0 + 10 * (k % 3)) for k in (1, 2, 3)])
+    row, col = np.mgrid[0:64, 0:64]
+    at = np.stack([(col + 0.5) * 3, (row + 0.5) * 3], -1)
+    buffer = np.zeros((64, 64), bool)
+    for a, b in zip(ends, ends[1:]):
+        t = np.clip(((at - a) @ (b - a)) / ((b - a) @ (b - a)), 0, 1)
+        buffer |= np.hypot(*np.moveaxis(at - a - t[..., None] * (b - a), -1, 0)) <= 100
+    want = set()
+    for s in range(4):
+        code = np.rint((v[s] + 1) * 4000).astype(int)
+        bad, nodata = _without((code % 41 == 0) | (code % 37 == 0), 40), col < 2
+        land, ok = _without(col + 20 * v[s] >= 32, 100), buffer & ~bad & ~nodata
+        for r in range(63):
+            for c in range(63):
+                if ok[r : r + 2, c : c + 2].all():
+                    for a, b in (((r, c), (r, c + 1)), ((r + 1, c), (r + 1, c + 1)), ((r, c), (r + 1, c)), ((r, c + 1), (r + 1, c + 1))):
+                        x, y = (a[1] + b[1]) * 1.5, (a[0] + b[0]) * -1.5
+                        if land[a] != land[b] and not (np.hypot(col * 3 - x, row * -3 - y)[bad | nodata] < 60).any():
+                            want.add((s, x, y))
+    got = {(r.scene_id, r.x, r.y) for r in shore.QUERIES["shoreline_pipeline"](spark, str(tmp_path)).collect()}
+    assert got == want and {s for s, _, _ in want} == {0, 1, 2, 3}
