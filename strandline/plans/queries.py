@@ -318,6 +318,13 @@ def qa_cloud_cover(spark, sf_dir):
     return masks.cloud_cover(view(spark, sf_dir, "udm_pixel"), masks.qa_cloud("qa"))
 
 
+@query()
+def scene_cloud_cover(spark, sf_dir):
+    # the cloud cover of a scene's file; qa_cloud_cover is the share of the raw bits
+    pixels = view(spark, sf_dir, "udm_pixel").select("scene_id", "row", "col", masks.qa_cloud("qa").alias("cloud"))
+    return masks.cloud_cover(masks.without_specks(pixels, "cloud", 40), F.col("cloud"))
+
+
 @query("SELECT scene_id, row, col FROM udm_pixel WHERE elevation > -1 AND elevation < 2", "udm_pixel")
 def elevation_mask(spark, sf_dir):
     return view(spark, sf_dir, "udm_pixel").where(masks.in_band("elevation", -1, 2)).select("scene_id", "row", "col")

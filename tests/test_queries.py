@@ -112,3 +112,14 @@ def test_shoreline_pipeline_by_brute_force(spark, tmp_path):
                             want.add((s, x, y))
     got = {(r.scene_id, r.x, r.y) for r in shore.QUERIES["shoreline_pipeline"](spark, str(tmp_path)).collect()}
     assert got == want and {s for s, _, _ in want} == {0, 1, 2, 3}
+
+
+def test_scene_cloud_cover_by_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    v = np.where(rng.random((3, 64, 64)) < [[[0.05]], [[0.35]], [[0.5]]], 3854, 3840) / 4000 - 1  # 14 and 0 of 256
+    v[0, 20:27, 20:27] = 3854 / 4000 - 1
+    _fixture(spark, tmp_path, v)
+    raw = np.rint((v + 1) * 4000).astype(int) % 256 & 14 != 0
+    want = {s: round(float(_without(raw[s], 40).mean()), 3) for s in range(3)}
+    got = {r.scene_id: r.cloud_cover for r in shore.QUERIES["scene_cloud_cover"](spark, str(tmp_path)).collect()}
+    assert got == want and want[0] > 0 and all(want[s] < raw[s].mean() - 0.02 for s in (0, 1))
