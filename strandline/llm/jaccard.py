@@ -90,11 +90,16 @@ def _sketches(x: np.ndarray, at: np.ndarray, longs: int) -> np.ndarray:
     return np.packbits(odd.reshape(n, bits), axis=1).view(np.int64)
 
 
+def _next_band(low: int, percent: int) -> int:
+    """No set under ``low`` members links with one of as many as this, so linked sets are one band apart at most."""
+    return max(low + 1, int(low * BAND), -(-low * 100 // percent))
+
+
 def bands(percent: int, largest: int) -> list[int]:
     """Lower ends of the size bands, the last one above ``largest``."""
     out = [1]
     while out[-1] <= largest:
-        out.append(max(out[-1] + 1, int(out[-1] * BAND)))
+        out.append(_next_band(out[-1], percent))
     return out
 
 
@@ -107,7 +112,7 @@ def signatures(x: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray,
     """(row, signature) for each signature of each set of a chunk."""
     sizes = np.diff(at)
     low = bands(percent, int(sizes.max(initial=1)))
-    low.append(max(low[-1] + 1, int(low[-1] * BAND)))
+    low.append(_next_band(low[-1], percent))
     low_a = np.array(low)
     own = np.searchsorted(low_a, sizes, "right") - 1
     rows = np.flatnonzero(sizes)

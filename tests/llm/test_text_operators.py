@@ -259,6 +259,16 @@ def test_notices_with_gaps_and_changes(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_sets_of_far_sizes_share_a_signature():
+    rng = np.random.default_rng(8)
+    for percent, n in [(50, 10), (50, 37), (60, 9), (70, 7), (30, 6)]:
+        m = 100 * n // percent
+        x = np.sort(rng.integers(0, 1 << 63, m).astype(np.uint64))
+        less = np.sort(rng.permutation(x)[:n])
+        row, sig = jaccard.signatures(np.concatenate([less, x]), np.array([0, n, n + m]), percent)
+        assert set(sig[row == 0]) & set(sig[row == 1]), (percent, n)
+
+
 # --- 2: quotes -----------------------------------------------------------------------------------------
 
 
