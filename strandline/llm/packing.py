@@ -11,37 +11,57 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.staging import staged
+from strandline.llm.textbytes import chunks, space_words, word_hashes
 
 CAPACITY = 2048
 END_ID = 1
 
-#: Words that a Python worker keeps with their ids; beyond it the table starts anew.
-CACHED_WORDS = 400_000
+#: Units that a Python worker keeps with their ids; beyond it the table starts anew.
+KNOWN_UNITS = 1_500_000
+#: Bytes of text that are split and looked up together.
+TEXT_BYTES = 1 << 22
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
+_WHITE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+
+
+def _byte_kinds() -> np.ndarray:
+    """The kind of each byte, where no byte before it decides."""
+    kind = np.full(256, _ODD, np.uint8)
+    kind[[9, 10, 11, 12, 13, 32]] = _WHITE
+    kind[33:127] = _MARK
+    kind[48:58] = _DIGIT
+    kind[97:123] = _LETTER
+    kind[[39, 60]] = _ODD  # ' opens contractions, < special tokens
+    return kind
+
+
+_KIND = _byte_kinds()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
 
 class WordEncoder:
-    """``word_bpe_49k.json`` through a table of words seen before.
+    """``word_bpe_49k.json`` through a table of units seen before.
 
-    This tokenizer drops white space and never joins across it, so a text's ids are those of its
-    white-space-separated chunks one after another. Python's split also cuts at U+001C to U+001F, which
-    the tokenizer does not count as white space: such texts go to the tokenizer whole.
+    This tokenizer splits a text into runs of letters, single digits and runs of other marks, drops white
+    space and joins nothing across these, so a text's ids are those of its units one after another. Units
+    are found and looked up for many texts at once. White-space-separated stretches with anything but ASCII
+    and Latin-1 letters, digits and plain marks are one unit, whose inside is left to the tokenizer.
+    A unit is known by a 64-bit hash of its lower-cased bytes.
     """
 
-    _parts = re.compile("^(?:([a-zß-öø-ÿ]+)([.,;:!?&*#$%|]*)|(.*))$", re.M)
-    _odd = re.compile("[\x1c-\x1f]")
-
     def __init__(self, path: str):
         # a task has one core: the library's thread pool would only wait on it, and burn time doing so
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,51 +78,82 @@ class WordEncoder:
         byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
         self.plain_model = Tokenizer.from_str(json.dumps(plain))
-        self.known: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _encode_letters(self, words: list[str]) -> list[bytes]:
-        """The same for words of letters alone, many to a call: each of them ends with an end-of-word id."""
-        out: list[bytes] = []
-        for e in self.plain_model.encode_batch_fast([" ".join(words[i : i + 200]) for i in range(0, len(words), 200)], add_special_tokens=False):
-            ids = np.asarray(e.ids, "<u4")
-            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
-            own = ids.tobytes()
-            out += [own[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids for words not seen before. A word of Latin-1 letters and then marks is its letters, in
-        lower case, followed by its marks: both are looked up apart, which spares most calls."""
-        letters, known = self.letters, self.known
-        if len(letters) > CACHED_WORDS:
-            letters.clear()
-        rows = self._parts.findall("\n".join(words).lower())
-        need = [*{a for a, _, _ in rows if a and a not in letters}]
-        letters.update(zip(need, self._encode_letters(need), strict=True))
-        marks = [*{b for _, b, _ in rows if b and b not in letters}]
-        letters.update(zip(marks, self._encode(marks), strict=True))
-        whole = [w for w, (a, _, _) in zip(words, rows, strict=True) if not a]
-        known.update(zip(whole, self._encode(whole), strict=True))
-        known.update((w, letters[a] + letters[b] if b else letters[a]) for w, (a, b, _) in zip(words, rows, strict=True) if a)
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        for i in range(0, len(texts), 128):
-            group = texts[i : i + 128]
-            split = [None if self._odd.search(t) else t.split() for t in group]
-            new = set().union(*(w for w in split if w)).difference(self.known)
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = set().union(*(w for w in split if w))
-            if new:
-                self._learn([*new])
-            get = self.known.__getitem__
-            for t, words in zip(group, split, strict=True):
-                yield self._encode([t])[0] if words is None else b"".join(map(get, words))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pd.Index(np.zeros(0, np.uint64))
+        self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
+        got = [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return (np.concatenate(got) if got else self.pool[:0]), np.array([len(g) for g in got], np.int64)
+
+    def _letter_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of letters, many to a call: each of them ends with an end-of-word id."""
+        calls = [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]
+        got = [np.asarray(e.ids, np.uint32) for e in self.plain_model.encode_batch_fast(calls, add_special_tokens=False)]
+        ids = np.concatenate(got) if got else self.pool[:0]
+        return ids, np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[ids])]))
+
+    def _learn(self, low: np.ndarray, start: np.ndarray, end: np.ndarray, letters: np.ndarray, keys: np.ndarray) -> None:
+        text = low.tobytes()
+        for of, ids in ((letters, self._letter_ids), (~letters, self._ids)):
+            got, size = ids([text[a:b].decode("utf-8", "replace") for a, b in zip(start[of].tolist(), end[of].tolist(), strict=True)])
+            self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.pool = np.concatenate([self.pool, got])
+            self.known = self.known.append(pd.Index(keys[of]))
+
+    @staticmethod
+    def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The units of a chunk of texts: its bytes in lower case, and start, end, row and kind of each unit."""
+        low = _LOWER[data]
+        kind = _KIND[low]
+        pair = np.flatnonzero(low[:-1] == 0xC3)  # U+00C0 to U+00FF; all but the signs of times and division are letters
+        pair = pair[(low[pair + 1] != 0x97) & (low[pair + 1] != 0xB7)]
+        kind[pair] = kind[pair + 1] = _LETTER
+        upper = pair[low[pair + 1] < 0x9F] + 1
+        low[upper] += 32
+        odd = kind == _ODD
+        if odd.any():
+            start, end, _ = space_words(data, offsets)
+            n = np.concatenate([[0], np.cumsum(odd)])
+            whole = n[end] > n[start]
+            mark = np.zeros(len(data) + 1, np.int64)
+            mark[start[whole]] += 1
+            mark[end[whole]] -= 1
+            kind[np.cumsum(mark[:-1]) > 0] = _ODD
+        new = np.empty(len(kind), bool)
+        new[:1] = True
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        new[offsets[:-1][offsets[:-1] < len(kind)]] = True
+        at = np.flatnonzero(new)
+        end = np.append(at[1:], len(kind))
+        some = kind[at] != _WHITE
+        start, end = at[some], end[some]
+        return low, start, end, np.searchsorted(start, offsets), kind[start]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each text of a chunk, one after another, and the texts' offsets in them."""
+        if not len(data):
+            return self.pool[:0], np.zeros(len(offsets), np.int64)
+        low, start, end, rows, kind = self._units(data, offsets)
+        keys = word_hashes(low, start, end)
+        at = self.known.get_indexer(keys)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if len(self.known) + len(new) > KNOWN_UNITS and len(self.known):
+                self._forget()
+                new = np.arange(len(keys))
+            _, one = np.unique(keys[new], return_index=True)
+            one = new[one]
+            self._learn(low, start[one], end[one], kind[one] == _LETTER, keys[one])
+            at = self.known.get_indexer(keys)
+        size = self.size[at]
+        until = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(self.first[at] - until[:-1], size) + np.arange(until[-1])]
+        return ids, until[rows]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -140,23 +191,21 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    tail = int(end_id).to_bytes(4, "little")
+    tail = np.array([end_id], np.uint32)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
-            ids = batch.column(0)
-            for i in range(0, batch.num_rows, 512):
+            for i, j, data, offsets in chunks(batch.column(1), TEXT_BYTES):
                 rows: list[tuple] = []
-                part = ids.slice(i, 512).to_pylist()
-                texts = [t or "" for t in batch.column(1).slice(i, 512).to_pylist()]
-                for doc_id, got in zip(part, enc.encode(texts), strict=True):
-                    got += tail
-                    n, at = len(got) // 4, 0
+                ids, at = enc.encode(data, offsets)
+                for doc_id, a, b in zip(batch.column(0).slice(i, j - i).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    own = np.concatenate([ids[a:b], tail])
+                    n, start = len(own), 0
                     for length in cut_lengths(n, capacity, waste):
-                        own = got[4 * at : 4 * (at + length)]
-                        rows.append((doc_id, at, length, zlib.crc32(own), n, *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
-                        at += length
+                        part = own[start : start + length]
+                        rows.append((doc_id, start, length, zlib.crc32(part), n, *([part.astype(np.int32)] if with_ids else [])))
+                        start += length
                 kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -164,65 +213,70 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     return docs.select("doc_id", "text").mapInArrow(cut, PIECE + ", ids array<int>" * with_ids)
 
 
-def _filled(rows: DataFrame, by: list[str], k: Column) -> DataFrame:
-    """n: position inside its group, from 0; full: its sequence gets all its k pieces."""
-    own = Window.partitionBy(*by)
-    order = own.orderBy("length", "doc_id", "start", "ids_crc32")
-    return rows.withColumn("n", F.row_number().over(order) - 1).withColumn("full", F.floor(F.col("n") / k) < F.floor(F.count(F.lit(1)).over(own) / k))
+def _numbered(level: int | Column, worker: Column, k: Column, bin_: Column) -> Column:
+    """sequence_id of a sequence that a worker filled: level, worker, class and number there in one long."""
+    return F.lit(level).cast("long") * 2**57 + worker.cast("long") * 2**29 + k.cast("long") * 2**17 + bin_.cast("long")
+
+
+#: The level of the last handful, above all levels of workers; class 1 has ids from 2**62.
+LAST_LEVEL = 31
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, worker_rows: int = 50_000) -> DataFrame:
     """Put pieces (columns of ``pieces``) into sequences; adds sequence_id and offset.
 
-    Pieces are dealt by hash to independent workers, which fill the sequences of each class with k
-    pieces. What a worker has left over (under k pieces of a class) is filled the same way among all
-    workers' left-overs of that class, and then one open sequence per class is left at most; there are
-    about ``2 * sqrt(capacity)`` classes, so that last handful is packed together, longest first, in one
-    task whose input is bounded by the capacity alone. Class 1 needs no counting. Rows alike in all
-    columns are packed apiece. An empty table gives an empty one.
+    Pieces are dealt by a hash of their row number to independent workers of about ``worker_rows`` rows,
+    which fill the sequences of each class with k pieces. What a worker has left over (under k pieces of a
+    class, so at most some ``capacity * ln(capacity)`` rows whatever it was dealt) goes to a next level of
+    half as many workers or fewer, and so on; above ``2**27 * worker_rows`` pieces a worker has more rows.
+    When one worker has had its turn, that handful is packed together, longest first, in one task whose input
+    is bounded by the capacity alone. Class 1 needs no counting. Rows alike in all columns are packed apiece.
+    An empty table gives an empty one.
     """
-    cut = staged(cut)
-    workers = max(1, cut.count() // worker_rows)
-    k = F.floor(F.lit(capacity) / F.col("length")).cast("int")
-    rows = cut.withColumn("k", k).withColumn("worker", F.pmod(F.xxhash64("doc_id", "start"), F.lit(workers)).cast("int"))
-    alone = rows.where("k = 1")
-    first = _filled(rows.where("k > 1"), ["worker", "k"], F.col("k"))
-    left = staged(first.where("not full").drop("n", "full"))
-    second = _filled(left, ["k"], F.col("k"))
-    bin_ = F.floor(F.col("n") / F.col("k"))
-    slot = Window.partitionBy("worker", "k", "bin").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lambda df: df.withColumn("offset", F.coalesce(F.sum("length").over(slot), F.lit(0)))
-    one = placed(first.where("full").withColumn("bin", bin_))
-    two = placed(second.where("full").withColumn("bin", bin_).withColumn("worker", F.lit(-1)))
-    rest = second.where("not full").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if "ids" in cut.columns else []))
-    three = _last(rest, capacity)
-    packed = cut.columns
-    # sequence_id: class, worker (0: all workers' left-overs) and number there in one long: 12, 26 and 22 bits.
-    code = (F.col("k").cast("long") * 2**48) + ((F.col("worker") + 1).cast("long") * 2**22) + F.col("bin").cast("long")
-    out = one.select(*packed, code.alias("sequence_id"), "offset").unionByName(two.select(*packed, code.alias("sequence_id"), "offset"))
-    out = out.unionByName(three.select(*packed, "sequence_id", F.col("offset").cast("long").alias("offset")))
-    # Class 1: numbers of the rows of the staged table, above all others.
-    single = alone.select(*packed, (F.monotonically_increasing_id() + F.lit(2**60)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return out.unionByName(single)
+    if worker_rows > 60_000 or capacity > 4095:
+        raise ValueError("at most 60,000 rows a worker and 4,095 tokens a sequence: a sequence's number has 17 bits, its class 12")
+    columns = cut.columns
+    rows = staged(cut.withColumn("_at", F.monotonically_increasing_id()).withColumn("k", F.floor(F.lit(capacity) / F.col("length")).cast("int")))
+    out = rows.where("k = 1").select(*columns, (F.col("_at") + F.lit(2**62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rows = rows.where("k > 1")
+    level, workers = 0, 2**28
+    while True:
+        # half as many as before at most, so levels end even where workers are dealt less than they leave over
+        workers = max(1, min(rows.count() // worker_rows, workers // 2))
+        own = Window.partitionBy("worker", "k")
+        rows = rows.withColumn("worker", F.pmod(F.xxhash64(F.lit(level), "_at"), F.lit(workers)).cast("int"))
+        rows = rows.withColumn("n", F.row_number().over(own.orderBy("length", "_at")) - 1).withColumn("bin", F.floor(F.col("n") / F.col("k")).cast("long"))
+        rows = rows.withColumn("full", F.col("bin") < F.floor(F.count(F.lit(1)).over(own) / F.col("k")))
+        slot = Window.partitionBy("worker", "k", "bin").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+        rows = staged(rows.withColumn("offset", F.coalesce(F.sum("length").over(slot), F.lit(0))))
+        out = out.unionByName(rows.where("full").select(*columns, _numbered(level, F.col("worker"), F.col("k"), F.col("bin")).alias("sequence_id"), "offset"))
+        rows = rows.where("not full").select(*columns, "_at", "k")
+        if workers == 1:
+            return out.unionByName(_last(rows.drop("k"), capacity).select(*columns, "sequence_id", "offset"))
+        level += 1
 
 
 def _last(rest: DataFrame, capacity: int) -> DataFrame:
-    """First-fit decreasing over the left-overs of the left-overs: under k pieces for each of some 90 classes."""
+    """First-fit decreasing over the left-overs of one worker: under k pieces for each of some 90 classes."""
     schema = rest.schema
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [b for b in batches if b.num_rows]
         if not found:
             return
-        table = pa.Table.from_batches(found)
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        table = pa.Table.from_batches(found).sort_by([("length", "descending"), ("_at", "ascending")])
         used: list[int] = []
         bins, at = [], []
+        open_from, before = 0, None
         for n in table.column("length").to_pylist():
-            b = next((i for i, u in enumerate(used) if u + n <= capacity), len(used))
+            # lengths fall, so a sequence without room for an equal one before has none for this one
+            if n != before:
+                open_from, before = 0, n
+            b = next((i for i in range(open_from, len(used)) if used[i] + n <= capacity), len(used))
+            open_from = b
             if b == len(used):
                 used.append(0)
-            bins.append(2**59 + b)
+            bins.append(LAST_LEVEL * 2**57 + b)
             at.append(used[b])
             used[b] += n
         table = table.append_column("sequence_id", pa.array(bins, pa.int64())).append_column("offset", pa.array(at, pa.int64()))

@@ -28,7 +28,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) by chunk; a null text is an empty one."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -41,7 +41,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + CHUNK_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, at[i] + size, "right")) - 1)
         j = min(j, n, i + CHUNK_ROWS)
         yield i, j, data[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j

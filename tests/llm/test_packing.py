@@ -67,3 +67,33 @@ def test_little_padding_when_there_is_much_to_pack(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', cast(50 + pmod(id * 7919, 3000) as int))").alias("text"))
     fill = packing.harmonic_packing(docs).groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.sum("n"), F.count("n")).first()
     assert fill[0] / (2048 * fill[1]) > 0.98
+
+
+@pytest.mark.parametrize("worker_rows", [50, 3000, 50_000])
+def test_sequences_of_many_workers_and_levels_stay_whole(spark, worker_rows):
+    """Many workers, several levels of left-overs, the shortest class among them, and rows alike in all columns."""
+    length = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 700).otherwise(1 + F.col("id") % 2048)
+    cut = spark.range(12_000).select((F.col("id") % 5).alias("doc_id"), F.lit(0).cast("long").alias("start"), length.cast("long").alias("length"), F.col("id").alias("ids_crc32"), F.lit(9).cast("long").alias("doc_tokens"))
+    rows = packing.pack(cut, worker_rows=worker_rows).toPandas().sort_values(["sequence_id", "offset"])
+    assert len(rows) == 12_000 and rows.ids_crc32.is_unique
+    own = rows.groupby("sequence_id")
+    assert own.length.sum().max() <= 2048
+    assert (rows.offset == own.length.cumsum() - rows.length).all()
+    assert rows.length.sum() / (2048 * own.ngroups) > 0.6
+
+
+def test_encoder_agrees_with_the_tokenizer_on_any_text():
+    import pyarrow as pa
+
+    from strandline.llm.textbytes import chunks
+
+    tok = tokenizer()
+    rng = np.random.default_rng(3)
+    letters = np.array(list("aBé ÉßÀ×÷'1 2\t\n.,!<|>endoftext日本\x1c\u0301\u00a0 Σςİstllre-_@#"))
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 60, 2000)] + ["<|startoftext|>", "", "we'll l'homme", "\xff \xdf"]
+    encoder = packing.encoder(__import__("public_tokenizers").path("word_bpe_49k.json"))
+    got: list = []
+    for _, _, data, offsets in chunks(pa.array(texts), 4096):
+        ids, at = encoder.encode(data, offsets)
+        got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
