@@ -13,10 +13,12 @@ parts are empty and those o parts have an empty rest, so that both sets have 2 z
 sub-parts. A set with that many repeats its signatures under another hashing, and the last one keeps
 its empty rests too.
 
-Sets are known by a 64-bit hash (a node), so copies are one node, however many there are. In each group
-that shares a signature every node is first compared with the least one, then a few times with a neighbour
-in random order; only where that leaves a group in several components are all of its pairs across
-components compared. So no link between components goes unseen, and a group of near copies costs its size.
+Sets are known by a 64-bit hash (a node), so copies are one node, however many there are. A group that
+shares a signature is sorted by minima of its sets' features, which puts like sets side by side, and every
+node is first compared with its neighbour; the signature picks one of a few such orders. What that links
+makes components, and only pairs of a group across components are then tested, by size and by parity sketches where
+they meet, and by the sets themselves if these let them pass. So no link between components goes unseen,
+and a group of near copies costs its size.
 """
 
 from __future__ import annotations
@@ -28,18 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.staging import staged
+from strandline.functions.staging import staged, unstage
 from strandline.llm.textbytes import chunks, lower_ascii, mix64, space_words, word_hashes
 from strandline.operators.graph import connected_components
 
 BAND = 1.4
 SUBPARTS = 2
 HASHINGS = 6
-STARS = 3
+#: Orders that a group is sorted by, one for each signature; each goes by as many minima.
+ORDERS = 4
 #: Longs of a set's parity sketch, and of the wide one that sets of at least LARGE members have besides.
 SKETCH_LONGS = 16
 WIDE_LONGS = 64
-LARGE = 400
+LARGE = 1200
 #: Bits of the map of nodes that share a signature: 4 MB, whatever the input.
 MAP_BITS = 1 << 25
 
@@ -90,6 +93,18 @@ def _sketches(x: np.ndarray, at: np.ndarray, longs: int) -> np.ndarray:
     return np.packbits(odd.reshape(n, bits), axis=1).view(np.int64)
 
 
+def _orders(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """ORDERS longs of each set: each has the least member (its 16 upper bits) of ORDERS of 16 hash slots.
+
+    Two sets have the same minimum of a slot with the odds of their similarity, so like sets are close in order.
+    """
+    n, slots = len(at) - 1, ORDERS * ORDERS
+    low = np.full(n * slots, 0xFFFF, np.uint64)
+    np.minimum.at(low, np.repeat(np.arange(n), np.diff(at)) * slots + (x % np.uint64(slots)).astype(np.int64), x >> np.uint64(48))
+    low = low.reshape(n, ORDERS, ORDERS)
+    return sum(low[:, :, k] << np.uint64(16 * (ORDERS - 1 - k)) for k in range(ORDERS)).view(np.int64)
+
+
 def _next_band(low: int, percent: int) -> int:
     """No set under ``low`` members links with one of as many as this, so linked sets are one band apart at most."""
     return max(low + 1, int(low * BAND), -(-low * 100 // percent))
@@ -178,21 +193,33 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text").alias("key")
 
 
+def _lists(sizes: np.ndarray, values: np.ndarray, mask: np.ndarray | None = None) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values.ravel()), mask=None if mask is None else pa.array(mask))
+
+
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, key, n, node (null for an empty set), sketch, wide (of large sets, else empty); key is a hash of doc_id and text."""
+    """doc_id, key, n, node (null for an empty set), orders, sketch, wide (of large sets, else empty); key is a
+    hash of doc_id and text. The last three are null where the task has met the node before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for i, j, data, offsets in chunks(batch.column(2)):
                 x, at = shingle_hashes(data, offsets, width)
                 sizes = np.diff(at)
-                sketch = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * SKETCH_LONGS, pa.int32()), pa.array(_sketches(x, at, SKETCH_LONGS).ravel()))
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes >= LARGE, WIDE_LONGS, 0))])
-                wide = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_sketches(*_take(x, at, np.flatnonzero(sizes >= LARGE)), WIDE_LONGS).ravel()))
-                columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), pa.array(_node_ids(x, at), mask=sizes == 0), sketch, wide]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "node", "sketch", "wide"])
+                nodes = _node_ids(x, at)
+                rows = _fresh(seen, nodes, sizes)
+                own = np.zeros(j - i, np.int64)
+                own[rows] = 1
+                y, y_at = _take(x, at, rows)
+                large = rows[sizes[rows] >= LARGE]
+                wide = np.zeros(j - i, np.int64)
+                wide[large] = WIDE_LONGS
+                lists = [_lists(own * ORDERS, _orders(y, y_at), own == 0), _lists(own * SKETCH_LONGS, _sketches(y, y_at, SKETCH_LONGS), own == 0), _lists(wide, _sketches(*_take(x, at, large), WIDE_LONGS), own == 0)]
+                columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), pa.array(nodes, mask=sizes == 0), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "node", "orders", "sketch", "wide"])
 
-    return docs.select("doc_id", row_key(), "text").mapInArrow(run, "doc_id long, key long, n long, node long, sketch array<long>, wide array<long>")
+    return docs.select("doc_id", row_key(), "text").mapInArrow(run, "doc_id long, key long, n long, node long, orders array<long>, sketch array<long>, wide array<long>")
 
 
 def _fresh(seen: set, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -266,27 +293,37 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 def _sets_of(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """node, shingles of the given nodes (and a few more), read from the texts."""
-    return staged(_among(_set_rows(docs, width), nodes.distinct()).dropDuplicates(["node"]))
-
+    return staged(_among(_set_rows(docs, width), nodes).dropDuplicates(["node"]))
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) that link: sizes and sketches rule out what they can, the sets decide on the rest.
 
-    Without ``sets``, only those of pairs that are left are read from the texts and moved.
-    """
-    # only the nodes asked for are moved
-    some = staged(_among(nodes.select("node", "n", "sketch", "wide"), pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
-    side = lambda k: some.select(F.col("node").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in ("n", "sketch", "wide")])
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b", percent))
-    near = staged(near.select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of pairs (a, b, na, nb) that link by their sets, which are read from the texts."""
+    near = staged(pairs)
     if near.isEmpty():
         return near.select("a", "b")
-    if sets is None:
-        sets = _sets_of(near.select(F.col("a").alias("node")).union(near.select("b")), docs, width)
+    sets = _sets_of(near.select(F.col("a").alias("node")).union(near.select("b")), docs, width)
     both = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
     same = F.size(F.array_intersect("xa", "xb"))
-    return staged(both.withColumn("i", same).where((100 + percent) * F.col("i") >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
+    links = staged(both.withColumn("i", same).where((100 + percent) * F.col("i") >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
+    unstage(near, sets)
+    return links
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Signatures (sig, node), each pair once, that two nodes have at least."""
+    by_sig = Window.partitionBy("sig").orderBy("node")
+    rows = rows.select("sig", "node", F.first("node").over(by_sig).alias("least"), F.lead("node").over(by_sig).alias("next"))
+    return rows.where("next <> node or (next is null and node <> least)").select("sig", "node")
+
+
+def _neighbours(shared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that are next to each other in their group's order."""
+    order = Window.partitionBy("sig").orderBy("o", "node")
+    own = F.element_at("orders", (F.pmod("sig", F.lit(ORDERS)) + 1).cast("int"))
+    rows = shared.join(nodes.select("node", "orders"), "node").select("sig", "node", own.alias("o"))
+    rows = rows.select("node", F.lag("node").over(order).alias("p")).where("p is not null")
+    return rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -331,40 +368,29 @@ def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, key, n, component_id for each row."""
     members = staged(_summaries(docs, width))
-    nodes = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
-    nodes = staged(nodes)
-    by_sig = Window.partitionBy("sig").orderBy("node")
-    rows = _signature_rows(docs, width, percent)
-    rows = rows.select("sig", "node", F.first("node").over(by_sig).alias("least"), F.lead("node").over(by_sig).alias("next"))
-    shared = staged(rows.where("node <> least or (next is not null and next <> node)").select("sig", "node", "least"))
-    pairs = shared.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(pairs, nodes, docs, width, percent)
+    shared = staged(_shared(_signature_rows(docs, width, percent)))
+    nodes = staged(_among(members.where("sketch is not null").drop("doc_id", "key"), shared.select("node")).dropDuplicates(["node"]))
+    known = nodes.select("node", "n", "sketch", "wide")
+    side = lambda df, k: df.select(*[F.col(c).alias(c if c == k else f"{k}_{c}") for c in df.columns])
+    pairs = _neighbours(shared, nodes)
+    for k in ("a", "b"):
+        pairs = pairs.join(side(known.withColumnRenamed("node", k), k), k)
+    ends = [F.col("a_n").alias("na"), F.col("b_n").alias("nb")]
+    links = _verified(pairs.where(_may_link("a", "b", percent)).select("a", "b", *ends), docs, width, percent)
     found = staged(connected_components(links))
-    # each node with a few neighbours of other components, by orders of the group that are random
-    left = staged(_open(shared, found))
-    sets = _sets_of(left.select("node"), docs, width)
-    some = None
-    for k in range(STARS):
-        mixed = Window.partitionBy("sig").orderBy(F.xxhash64(F.lit(k), "node"), "node")
-        one = left.withColumn("p", F.lag(F.struct("node", "c")).over(mixed)).where("p.c <> c")
-        one = one.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-        some = one if some is None else some.union(one)
-    fresh = _verified(some.distinct(), nodes, docs, width, percent, sets)
-    if not fresh.isEmpty():
-        links = links.union(fresh)
-        found = staged(connected_components(links))
     # what is left: pairs across components are tested where they meet, by size and parity, and few leave the join
-    left = staged(_open(shared, found).join(nodes.select("node", "n", "sketch", "wide"), "node"))
-    side = lambda k: left.select(*[F.col(c).alias(f"{k}_{c}") for c in ("sig", "node", "c", "n", "sketch", "wide")])
+    left = _open(shared, found).join(known, "node")
     pair = (F.col("a_sig") == F.col("b_sig")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
-    more = side("a").join(side("b"), pair & _may_link("a", "b", percent)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    extra = _verified(more, nodes, docs, width, percent, sets)
+    more = side(left, "a").join(side(left, "b"), pair & _may_link("a", "b", percent))
+    more = more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), *ends).distinct()
+    extra = _verified(more, docs, width, percent)
     if not extra.isEmpty():
         found = staged(connected_components(links.union(extra)))
-    ids = nodes.select("node", "rep").join(found, "node")
-    least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
-    linked = ids.select("node", "component").join(least, "component").select("node", "component_id")
-    alone = nodes.join(found, "node", "left_anti").select("node", F.col("rep").alias("component_id"))
-    named = linked.union(alone)
+    unstage(shared, nodes, links, extra)
+    reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    ids = reps.join(found, "node")
+    least = ids.groupBy("component").agg(F.min("rep").alias("least"))
+    linked = ids.join(least, "component").select("node", "least")
+    named = reps.join(linked, "node", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
     out = members.where("node is not null").join(named, "node").select("doc_id", "key", "n", "component_id")
     return out.union(members.where("node is null").select("doc_id", "key", "n", F.col("doc_id")))
