@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (local runs, tests) a local folder is made and set.
+    Where the session names none, a local run gets a local folder; on a cluster, whose executors do not share
+    such a folder, that raises.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
     return sc.getCheckpointDir()
 
@@ -30,4 +33,16 @@ def staged(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables of staged() that nothing reads any more: all that was made of them is staged itself."""
+    for df in tables:
+        path = getattr(df, "staged_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
