@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.staging import staged, unstage
-from strandline.llm.textbytes import chunks, lower_ascii, mix64, space_words, word_hashes
+from strandline.llm.textbytes import chunks, free_name, lower_ascii, mix64, space_words, word_hashes
 from strandline.operators.graph import connected_components
 
 BAND = 1.4
@@ -343,7 +343,8 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     Rows of that doc_id that are alike in their texts count as one, whichever it is; a component's further
     rows of that doc_id with other texts go. What goes is known by (doc_id, text) and taken out by an
-    anti-join, so texts that stay are moved only if what goes is too much to broadcast.
+    anti-join, so texts that stay are moved only if what goes is too much to broadcast. Rows with a null,
+    empty or wordless text all stay. Other columns, whatever their names, stay as they are.
     """
     rows = staged(_grouped(docs, width, percent).select("key", "doc_id", "component_id", F.col("n") > 0))
     rows = rows.toDF("key", "doc_id", "component_id", "has")
@@ -353,9 +354,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     heads = heads.withColumn("_r", F.row_number().over(first))
     gone = rows.where(~same).select("key").union(heads.where("_r > 1").select("key")).distinct()
     again = heads.where("_r = 1 and count > 1").select("key")
-    keyed = docs.withColumn("key", row_key())
-    kept = keyed.join(gone.union(again), "key", "left_anti").select(*docs.columns)
-    return kept.union(keyed.join(again, "key", "left_semi").dropDuplicates(["key"]).select(*docs.columns))
+    name = free_name(docs, "key")
+    keyed, named = docs.select("*", row_key().alias(name)), lambda df: df.withColumnRenamed("key", name)
+    kept = keyed.join(named(gone.union(again)), name, "left_anti").select(*docs.columns)
+    return kept.union(keyed.join(named(again), name, "left_semi").dropDuplicates([name]).select(*docs.columns))
 
 
 def _open(shared: DataFrame, found: DataFrame) -> DataFrame:

@@ -18,9 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.order import random_key
 from strandline.llm.textbytes import chunks
 
 BITS = 16
+#: Bits of the bins that hashes are counted in.
+HASH_BITS = 16
 WINDOW_GRAMS = 48
 PENALTY = 12.0
 ROUNDS = 12
@@ -86,16 +89,28 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def fit(labelled: DataFrame, per_language: int = 1500, seed: int = 5) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and log-likelihoods [2**BITS, languages] from ``labelled`` (doc_id, text, lang).
 
-    Learns from at most ``per_language`` documents of each language, those of the lowest seeded hashes;
-    null texts and labels are left out. What reaches the driver is a count for each n-gram hash and
+    Learns from ``per_language`` documents of each language at most, those of the lowest seeded hashes (and
+    as many more as repeat the last one's id and text); null texts and labels are left out. What reaches the driver is a count for each n-gram hash and
     language: 2**BITS numbers for each language, whatever the input.
     """
-    spark = labelled.sparkSession
-    rows = labelled.where("lang is not null and text is not null").withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", F.xxhash64("text")))
-    pick = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    chosen = rows.select("lang", "_h", "doc_id").withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= per_language)
-    # the sample is bounded by per_language rows a language; a repeated row may come twice
-    texts = rows.join(chosen.select("lang", "_h").distinct(), ["lang", "_h"], "left_semi").select("lang", "text")
+    rows = labelled.where("lang is not null and text is not null").select("lang", "text", random_key(seed, "doc_id", F.xxhash64("text")).alias("_h"))
+    # The lowest hashes: a first aggregation by (lang, bin of the hash) counts rows, and only bins up to the one
+    # where the count is reached hold candidates; both tables are bounded by languages times bins.
+    bins = rows.select("lang", "_h", F.shiftrightunsigned("_h", 63 - HASH_BITS).alias("_bin"))
+    up = Window.partitionBy("lang").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    full = bins.groupBy("lang", "_bin").count().withColumn("_before", F.coalesce(F.sum("count").over(up), F.lit(0)))
+    last = full.where(F.col("_before") < per_language).groupBy("lang").agg(F.max("_bin").alias("_last"), F.max(F.struct("_bin", (per_language - F.col("_before")).alias("take"))).alias("_end"))
+    last = last.select("lang", "_last", F.col("_end.take").alias("_take"))
+    # of the last bin the lowest hashes again; a hash that stands in several rows counts with all of them
+    edge = bins.join(last, "lang").where("_bin = _last").groupBy("lang", "_h", "_take").count()
+    edge = edge.withColumn("_before", F.coalesce(F.sum("count").over(Window.partitionBy("lang").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    edge = edge.where("_before < _take").groupBy("lang").agg(F.max("_h").alias("_most"))
+    # a row for each language: the rest is a filter of the scan
+    most = {r["lang"]: r["_most"] for r in edge.collect()}
+    if not most:
+        return [], np.full((1 << BITS, 0), 0, np.float32)
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in most.items() for x in pair]), F.col("lang"))
+    texts = rows.where(F.col("_h") <= limit).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -181,14 +196,14 @@ def proportions(g: np.ndarray, at: np.ndarray, table: np.ndarray, penalty: float
     return best
 
 
-def predict(docs: DataFrame, langs: list[str], table: np.ndarray, penalty: float = PENALTY) -> DataFrame:
-    """The columns of ``docs`` with lang_pred, score and proportions (array, by ``langs``).
+def predict(docs: DataFrame, langs: list[str], table: np.ndarray, penalty: float = PENALTY, names: tuple[str, str, str] = ("lang_pred", "score", "proportions")) -> DataFrame:
+    """The columns of ``docs`` with lang_pred, score and proportions (array, by ``langs``), or with the names given.
 
     Only the text is looked at. A text that is null or without a letter, and any text where nothing was
     learned, is ``und`` with score 0; ties go to the first language in order. Columns of ``docs`` named
     like those added give way to them.
     """
-    own = [c for c in docs.columns if c not in ("lang_pred", "score", "proportions")]
+    own = [c for c in docs.columns if c not in names]
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 2**BITS numbers a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,14 +219,15 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, penalty: float
                     theta[~some] = 0
                     win = theta.argmax(1)
                     score = np.clip(theta.max(1), 0, 1)
-                    names = [langs[w] if s else "und" for w, s in zip(win, some, strict=True)]
+                    best = [langs[w] if s else "und" for w, s in zip(win, some, strict=True)]
                 else:
-                    theta, score, names = np.zeros((j - i, 0)), np.zeros(j - i), ["und"] * (j - i)
+                    theta, score, best = np.zeros((j - i, 0)), np.zeros(j - i), ["und"] * (j - i)
                 shares = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * len(langs), pa.int32()), pa.array(theta.ravel(), pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(score), shares], names=[*part.schema.names, "lang_pred", "score", "proportions"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best, pa.string()), pa.array(score), shares], names=[*part.schema.names, *names])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own]
-    return docs.select(*own).mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double", "proportions array<double>"]))
+    added = [f"`{n}` {kind}" for n, kind in zip(names, ("string", "double", "array<double>"), strict=True)]
+    return docs.select(*[F.col(f"`{c}`") for c in own]).mapInArrow(run, ", ".join([*fields, *added]))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -31,7 +31,7 @@ KNOWN_UNITS = 1_500_000
 #: Bytes of text that are split and looked up together.
 TEXT_BYTES = 1 << 22
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, doc_row long"
 
 _WHITE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
 
@@ -185,7 +185,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     """Tokenise and cut each row of ``docs`` (doc_id, text): one row per piece, with its ids if asked for.
 
     A null text counts as empty and has the end id alone. A document that stands in several rows is cut
-    once for each. Other columns are not read.
+    once for each; doc_row, a number that each row gets, tells their pieces apart. Other columns are not read.
     """
     if tokenizer_path is None:
         import public_tokenizers
@@ -199,18 +199,19 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
             for i, j, data, offsets in chunks(batch.column(1), TEXT_BYTES):
                 rows: list[tuple] = []
                 ids, at = enc.encode(data, offsets)
-                for doc_id, a, b in zip(batch.column(0).slice(i, j - i).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                own_rows = zip(batch.column(0).slice(i, j - i).to_pylist(), batch.column(2).slice(i, j - i).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True)
+                for doc_id, doc_row, a, b in own_rows:
                     own = np.concatenate([ids[a:b], tail])
                     n, start = len(own), 0
                     for length in cut_lengths(n, capacity, waste):
                         part = own[start : start + length]
-                        rows.append((doc_id, start, length, zlib.crc32(part), n, *([part.astype(np.int32)] if with_ids else [])))
+                        rows.append((doc_id, start, length, zlib.crc32(part), n, doc_row, *([part.astype(np.int32)] if with_ids else [])))
                         start += length
-                kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
+                kinds = [pa.int64()] * 6 + [pa.list_(pa.int32())] * with_ids
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "doc_row"] + ["ids"] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECE + ", ids array<int>" * with_ids)
+    return docs.select("doc_id", "text", F.monotonically_increasing_id()).mapInArrow(cut, PIECE + ", ids array<int>" * with_ids)
 
 
 def _numbered(level: int | Column, worker: Column, k: Column, bin_: Column) -> Column:
@@ -289,6 +290,6 @@ def _last(rest: DataFrame, capacity: int) -> DataFrame:
 def harmonic_packing(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, waste: float = 0.004, with_ids: bool = False) -> DataFrame:
     """All of ``docs`` in sequences of at most ``capacity`` tokens: a row per piece.
 
-    doc_id, start, length, ids_crc32, doc_tokens, [ids,] sequence_id, offset.
+    doc_id, start, length, ids_crc32, doc_tokens, doc_row, [ids,] sequence_id, offset.
     """
     return pack(pieces(docs, tokenizer_path, capacity, end_id, waste, with_ids), capacity)

@@ -15,7 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.harmonic_packing(table(spark, sf_dir, "documents"))
+    pieces = packing.harmonic_packing(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "doc_row")
 
 
 def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def op6_personal_data_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.train(pii.labelled_table(spark)))
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     number = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[number(k) for k in pii.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    base = [*[number(k) for k in pii.BASE_KINDS], F.sha2(listed("base"), 256).alias("base_sha256")]
+    return found.select("doc_id", *base, listed("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

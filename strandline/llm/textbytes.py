@@ -10,11 +10,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 2048
 
-_MASK = (1 << 64) - 1
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
