@@ -26,10 +26,10 @@ from strandline.llm.textbytes import chunks, space_words, word_hashes
 CAPACITY = 2048
 END_ID = 1
 
-#: Units that a Python worker keeps with their ids; beyond it the table starts anew.
-KNOWN_UNITS = 1_500_000
+#: Units that a Python worker keeps with their ids; beyond it those met once go.
+KNOWN_UNITS = 500_000
 #: Bytes of text that are split and looked up together.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 20
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, doc_row long"
 
@@ -82,7 +82,18 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.known = pd.Index(np.zeros(0, np.uint64))
-        self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.first, self.size, self.uses = (np.zeros(0, np.int32) for _ in range(3))
+        self.pool = np.zeros(0, np.uint32)
+
+    def _trim(self) -> None:
+        """Keep the units met again since they were learned, or none if these are many."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > KNOWN_UNITS // 2:
+            return self._forget()
+        size = self.size[keep]
+        until = np.cumsum(size) - size
+        self.pool = self.pool[np.repeat(self.first[keep] - until, size) + np.arange(size.sum())]
+        self.first, self.size, self.uses, self.known = until.astype(np.int32), size, np.ones(len(keep), np.int32), self.known[keep]
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each has."""
@@ -100,8 +111,9 @@ class WordEncoder:
         text = low.tobytes()
         for of, ids in ((letters, self._letter_ids), (~letters, self._ids)):
             got, size = ids([text[a:b].decode("utf-8", "replace") for a, b in zip(start[of].tolist(), end[of].tolist(), strict=True)])
-            self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
+            self.first = np.concatenate([self.first, (len(self.pool) + np.cumsum(size) - size).astype(np.int32)])
+            self.size = np.concatenate([self.size, size.astype(np.int32)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(size), np.int32)])
             self.pool = np.concatenate([self.pool, got])
             self.known = self.known.append(pd.Index(keys[of]))
 
@@ -144,14 +156,15 @@ class WordEncoder:
         new = np.flatnonzero(at < 0)
         if len(new):
             if len(self.known) + len(new) > KNOWN_UNITS and len(self.known):
-                self._forget()
-                new = np.arange(len(keys))
+                self._trim()
+                new = np.flatnonzero(self.known.get_indexer(keys) < 0)
             _, one = np.unique(keys[new], return_index=True)
             one = new[one]
             self._learn(low, start[one], end[one], kind[one] == _LETTER, keys[one])
             at = self.known.get_indexer(keys)
+        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         size = self.size[at]
-        until = np.concatenate([[0], np.cumsum(size)])
+        until = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         ids = self.pool[np.repeat(self.first[at] - until[:-1], size) + np.arange(until[-1])]
         return ids, until[rows]
 
