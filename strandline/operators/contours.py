@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions.staging import staged
+from strandline.operators import masks
 from strandline.operators.components import patches
 from strandline.operators.graph import connected_components
 from strandline.operators.masks import is_water
@@ -112,7 +113,7 @@ def long_enough(vertices: DataFrame, least: float, by: list[str], seq: str = "se
 def shorelines(
     labels: DataFrame,
     mask: DataFrame,
-    georef: list[float],
+    georef: list[float] | DataFrame,
     dates: DataFrame | None = None,
     buffer: DataFrame | None = None,
     water: tuple[int, ...] = (0, 1),
@@ -120,6 +121,7 @@ def shorelines(
     least_length: float = 0,
     nodata_dist: float = 60,
     cloud_dist: float = 60,
+    epsg: int | None = None,
 ) -> DataFrame:
     """scene_id, [date,] contour_id, part, seq, x, y: shorelines of all scenes at once.
 
@@ -127,7 +129,13 @@ def shorelines(
     land become water, pixels under cloud, without data or outside ``buffer`` (scene_id, row, col) are blanked, contours traced and brought to world coordinates; contours that are too short go,
     vertices near missing data or clouds go, what is then too short goes. A line whose middle went keeps
     its two sides as one line. Scenes without a mask drop out, as do scenes where nothing is left.
+
+    ``georef`` is one georeference for all scenes, or a table (scene_id, georef, epsg) with each scene's own and
+    its UTM projection. Lengths and distances are measured there; ``epsg`` then names the UTM projection that
+    all lines come out in.
     """
+    if not isinstance(georef, DataFrame) and epsg is not None:
+        raise ValueError("an output projection needs each scene's own: give georef as a table")
     key = ["scene_id", "row", "col"]
     flag = labels.join(mask.select(*key, "shadow", "cloud", "nodata"), key).select(*key, (~is_water("label", list(water))).alias("land"), (F.col("cloud") | F.col("shadow")).alias("cloud"), "nodata")
     flag = staged(flag)
@@ -139,16 +147,18 @@ def shorelines(
     if buffer is not None:
         by = [c for c in key if c in buffer.columns]
         grid = grid.join(buffer.select(*by).distinct().withColumn("_in", F.lit(True)), by, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
-    lines = chained(segments(grid))
-    x, y = geo.pixel_to_world(F.col("row"), F.col("col"), georef)
     line = ["scene_id", "contour_id", "part"]
-    v = clean(lines.select(*line, "seq", x.alias("x"), y.alias("y")), line)
+    v = clean(masks.in_world(chained(segments(grid)), georef, [*line, "seq"]), line)
     v = long_enough(v, least_length, line)
     for which, dist in (("nodata", nodata_dist), ("cloud", cloud_dist)):
-        mx, my = geo.pixel_to_world(F.col("row"), F.col("col"), georef)
-        spots = edge_of(flag, which).select("scene_id", mx.alias("x"), my.alias("y"))
-        v = away_from_mask(v, spots, dist, ["scene_id"])
+        v = away_from_mask(v, masks.in_world(edge_of(flag, which), georef, ["scene_id"]), dist, ["scene_id"])
     v = long_enough(v, least_length, line)
+    if epsg is not None:
+        lon, lat = geo.from_utm("x", "y", F.col("epsg"))
+        x, y = geo.to_utm("_lon", "_lat", epsg)
+        v = v.join(georef.select("scene_id", "epsg"), "scene_id").withColumn("_lon", lon).withColumn("_lat", lat)
+        other = F.col("epsg") != epsg
+        v = v.withColumn("_x", F.when(other, x).otherwise(F.col("x"))).withColumn("y", F.when(other, y).otherwise(F.col("y"))).withColumn("x", F.col("_x")).drop("_x", "_lon", "_lat", "epsg")
     return v if dates is None else v.join(dates.select("scene_id", "date"), "scene_id")
 
 

@@ -138,19 +138,43 @@ def line_buffer(pixels: DataFrame, vertices: DataFrame, georef: list[float], max
     return here.join(seg, cond, "left_semi").drop("_x", "_y", "_cx", "_cy")
 
 
-def clipped(pixels: DataFrame, ring: list[tuple[float, float]], georef: list[float], value: str = "dn") -> DataFrame:
-    """Pixels of the ring's box, with 0 where their centre is outside the ring.
-
-    The box is a plain range on row and col, which a scan can prune by. An empty result means that the
-    region does not meet the scene.
+def in_world(pixels: DataFrame, georef: list[float] | DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the world coordinates x, y of (row, col): by one georeference, or by each scene's own from a
+    table (scene_id, georef, ..)."""
+    if isinstance(georef, DataFrame):
+        pixels = pixels.join(georef.select("scene_id", F.col("georef").alias("_g")), "scene_id")
+        georef = [F.col("_g")[i] for i in range(6)]
+    x, y = geo.pixel_to_world(F.col("row"), F.col("col"), georef)
+    return pixels.select(*keep, x.alias("x"), y.alias("y"))
+
+
+def clipped(pixels: DataFrame, ring: list[tuple[float, float]] | list[list[tuple[float, float]]], georef: list[float] | DataFrame, value: str = "dn") -> DataFrame:
+    """Pixels of the region's box, with 0 where their centre is outside the region.
+
+    The region is a ring, or several: holes and parts, of which a point is inside by the even-odd rule. With one
+    georeference the box is a plain range on row and col, which a scan can prune by; with a table (scene_id,
+    georef, ..) each scene has its own box. An empty result means that the region does not meet the scene.
     """
-    corners = [_pixel(p, georef) for p in ring]
-    lo_r, hi_r = math.floor(min(r for r, _ in corners)), math.ceil(max(r for r, _ in corners))
-    lo_c, hi_c = math.floor(min(k for _, k in corners)), math.ceil(max(k for _, k in corners))
-    box = F.col("row").between(lo_r, hi_r - 1) & F.col("col").between(lo_c, hi_c - 1)
-    x, y = geo.pixel_to_world(F.col("row") + 0.5, F.col("col") + 0.5, georef)
-    points = F.array(*[F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in ring])
-    return pixels.where(box).withColumn(value, F.when(geo.in_ring(x, y, points), F.col(value)).otherwise(0))
+    rings = ring if isinstance(ring[0], list) else [ring]
+    flat = [p for r in rings for p in r]
+    columns = pixels.columns
+    if isinstance(georef, DataFrame):
+        pixels = pixels.join(georef.select("scene_id", F.col("georef").alias("_g")), "scene_id")
+        g = [F.col("_g")[i] for i in range(6)]
+        corners = [geo.world_to_pixel(F.lit(float(a)), F.lit(float(b)), g) for a, b in flat]
+        box = F.lit(True)
+        for k, name in enumerate(("row", "col")):
+            at = [c[k] for c in corners]
+            box = box & (F.col(name) >= F.floor(F.least(*at))) & (F.col(name) <= F.ceil(F.greatest(*at)) - 1)
+    else:
+        g = georef
+        corners = [_pixel(p, georef) for p in flat]
+        lo_r, hi_r = math.floor(min(r for r, _ in corners)), math.ceil(max(r for r, _ in corners))
+        lo_c, hi_c = math.floor(min(k for _, k in corners)), math.ceil(max(k for _, k in corners))
+        box = F.col("row").between(lo_r, hi_r - 1) & F.col("col").between(lo_c, hi_c - 1)
+    x, y = geo.pixel_to_world(F.col("row") + 0.5, F.col("col") + 0.5, g)
+    times = sum((geo.in_ring(x, y, F.array(*[F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in r])).cast("int") for r in rings), F.lit(0))
+    return pixels.where(box).withColumn(value, F.when(times % 2 == 1, F.col(value)).otherwise(0)).select(*columns)
 
 
 def _pixel(p: tuple[float, float], g: list[float]) -> tuple[float, float]:

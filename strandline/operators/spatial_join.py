@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,15 +20,38 @@ def neighbour_cells(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     return df.withColumn("_cx", F.explode(F.transform(near, lambda d: cell(x, size) + d))).withColumn("_cy", F.explode(F.transform(near, lambda d: cell(y, size) + d)))
 
 
+def corridor_cells(transects: DataFrame, along_dist: float, reach: float) -> DataFrame:
+    """transect_id, x0, y0, x1, y1 once for each cell of side ``4 * along_dist`` (_cx, _cy) that may hold a point
+    within ``along_dist`` of the transect's line and ``reach`` of its origin.
+
+    The line is sampled once a cell side; such a point is nearer than a cell side to a sample, so the nine
+    cells about the samples hold it.
+    """
+    size = 4 * along_dist
+    length = geo.distance("x0", "y0", "x1", "y1")
+    unit = lambda a, b: F.coalesce((F.col(b) - F.col(a)) / F.nullif(length, F.lit(0.0)), F.lit(0.0))
+    steps = F.sequence(F.lit(-math.ceil(reach / size)), F.lit(math.ceil(reach / size)))
+    near = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+
+    def about(t: Column) -> Column:
+        x, y = cell(F.col("x0") + t * size * F.col("_ux"), size), cell(F.col("y0") + t * size * F.col("_uy"), size)
+        return F.array(*[F.struct((x + i).alias("x"), (y + j).alias("y")) for i, j in near])
+
+    lines = transects.select("transect_id", "x0", "y0", "x1", "y1", unit("x0", "x1").alias("_ux"), unit("y0", "y1").alias("_uy"))
+    lines = lines.withColumn("_c", F.explode(F.array_distinct(F.flatten(F.transform(steps, about)))))
+    return lines.select("transect_id", "x0", "y0", "x1", "y1", F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy"))
+
+
 def points_on_transects(points: DataFrame, transects: DataFrame, along_dist: float = 25, reach: float = 1000) -> DataFrame:
     """Pairs of a point and a transect with chainage and offset: |offset| <= along_dist, at most ``reach`` from the origin.
 
-    The transects, the smaller side, stand in the nine cells about their origin; a point stays in its own.
+    The transects, the smaller side, stand in the cells of their own corridors; a point stays in its own, and
+    meets the few transects that pass near it.
     """
-    lines = neighbour_cells(transects.select("transect_id", "x0", "y0", "x1", "y1"), "x0", "y0", reach)
-    here = points.withColumn("_cx", cell("x", reach)).withColumn("_cy", cell("y", reach))
+    size = 4 * along_dist
+    here = points.withColumn("_cx", cell("x", size)).withColumn("_cy", cell("y", size))
     along, across = geo.along_across("x", "y", "x0", "y0", "x1", "y1")
-    pairs = here.join(lines, ["_cx", "_cy"]).withColumn("chainage", along).withColumn("offset", across)
+    pairs = here.join(corridor_cells(transects, along_dist, reach), ["_cx", "_cy"]).withColumn("chainage", along).withColumn("offset", across)
     near = (F.abs("offset") <= along_dist) & (geo.distance("x0", "y0", "x", "y") <= reach)
     return pairs.where(near).drop("_cx", "_cy")
 
@@ -48,11 +73,11 @@ def away_from_mask(points: DataFrame, mask: DataFrame, threshold: float, by: lis
     return here.join(spots, cond, "left_anti").drop("_cx", "_cy")
 
 
-def transects_in_regions(transects: DataFrame, regions: DataFrame) -> DataFrame:
+def transects_in_regions(transects: DataFrame, regions: DataFrame, size: float = 1000) -> DataFrame:
     """Transects that meet any region ring: an end inside it, or a crossing of one of its sides.
 
-    Boxes are compared first; regions are drawn by hand and few, and are broadcast only while Spark's own
-    threshold says they are small.
+    The boxes of transects and regions stand in the cells of side ``size`` that they meet; the two meet by cell, then
+    box, then ring, so neither side need be small. Transects alike in all columns are kept apiece.
     """
     b = geo.ring_bounds("ring")
     r = regions.select("ring", *[v.alias(f"_{k}") for k, v in b.items()])
@@ -67,7 +92,16 @@ def transects_in_regions(transects: DataFrame, regions: DataFrame) -> DataFrame:
     x0, y0, x1, y1 = (F.col(k) for k in ("x0", "y0", "x1", "y1"))
     crosses = lambda p, q: (side(x0, y0, x1, y1, p.x, p.y) * side(x0, y0, x1, y1, q.x, q.y) <= 0) & (side(p.x, p.y, q.x, q.y, x0, y0) * side(p.x, p.y, q.x, q.y, x1, y1) <= 0)
     hit = geo.in_ring("x0", "y0", "ring") | F.exists(F.zip_with(ring, turned, crosses), lambda v: v)
-    return transects.join(r, meets & hit, "left_semi")
+    r = _in_cells(r, "_minx", "_miny", "_maxx", "_maxy", size)
+    t = _in_cells(transects.withColumn("_lx", box[0]).withColumn("_ly", box[1]).withColumn("_hx", box[2]).withColumn("_hy", box[3]).withColumn("_row", F.monotonically_increasing_id()), "_lx", "_ly", "_hx", "_hy", size)
+    same = (t["_cx"] == r["_cx"]) & (t["_cy"] == r["_cy"])
+    return t.join(r, same & meets & hit, "left_semi").dropDuplicates(["_row"]).select(*transects.columns)
+
+
+def _in_cells(df: DataFrame, minx: str, miny: str, maxx: str, maxy: str, size: float) -> DataFrame:
+    """Each row once in each cell (_cx, _cy) that its box meets."""
+    df = df.withColumn("_cx", F.explode(F.sequence(cell(minx, size), cell(maxx, size))))
+    return df.withColumn("_cy", F.explode(F.sequence(cell(miny, size), cell(maxy, size))))
 
 
 def resampled(target: DataFrame, source: DataFrame, target_grid: list, source_grid: list, value: str, missing, target_epsg: int | None = None, source_epsg: int | None = None) -> DataFrame:

@@ -455,6 +455,34 @@ def clipped_pixels(spark, sf_dir):
     return masks.clipped(view(spark, sf_dir, "band_pixel"), ring, [0.0, 3.0, 0.0, 0.0, 0.0, 3.0]).select("scene_id", "row", "col", "band", "dn")
 
 
+def _scene_grids(spark, sf_dir):
+    """Each scene's own georeference and UTM zone."""
+    g = view(spark, sf_dir, "scene_grid").distinct()
+    return g.select("scene_id", F.array("x0", F.lit(3.0), F.lit(0.0), "y0", F.lit(0.0), F.lit(3.0)).alias("georef"), "epsg")
+
+
+@query(
+    ", g AS (SELECT DISTINCT * FROM scene_grid), w AS (SELECT b.*, x0 + (col + 0.5) * 3 AS x, y0 + (row + 0.5) * 3 AS y, x0, y0 FROM band_pixel b JOIN g USING (scene_id))"
+    " SELECT scene_id, row, col, band, CASE WHEN x - 6 < y AND NOT (x > 9 AND x < 18 AND y > 60 AND y < 90) THEN dn ELSE 0 END AS dn FROM w WHERE row BETWEEN floor((6 - y0) / 3) AND ceil((102 - y0) / 3) - 1 AND col BETWEEN floor((6 - x0) / 3) AND ceil((36 - x0) / 3) - 1",
+    "band_pixel",
+    "scene_grid",
+)
+def clipped_scenes(spark, sf_dir):
+    # a region with a hole, and a georeference for each scene
+    region = [[(6.0, 6.0), (6.0, 102.0), (36.0, 102.0), (36.0, 30.0), (12.0, 6.0)], [(9.0, 60.0), (18.0, 60.0), (18.0, 90.0), (9.0, 90.0)]]
+    return masks.clipped(view(spark, sf_dir, "band_pixel"), region, _scene_grids(spark, sf_dir)).select("scene_id", "row", "col", "band", "dn")
+
+
+@query()
+def projected_shorelines(spark, sf_dir):
+    # from labels to dated lines in one projection, each scene by its own georeference and zone
+    pixels, grids = view(spark, sf_dir, "label_pixel"), _scene_grids(spark, sf_dir)
+    udm = masks.without_specks(view(spark, sf_dir, "udm_pixel").withColumn("cloud", masks.cloud_or_shadow()).withColumn("shadow", F.lit(False)), "cloud", 40)
+    east = grids.withColumn("georef", F.transform("georef", lambda v, i: v + F.when(i == 0, EAST).when(i == 3, NORTH).otherwise(0.0)))
+    dates = grids.select("scene_id", F.date_add(F.lit("2023-01-01").cast("date"), F.col("scene_id")).alias("date"))
+    return contours.shorelines(pixels, udm, east, dates=dates, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6, epsg=ZONE)
+
+
 @query("SELECT date, x, y, true AS back FROM shoreline_point", "shoreline_point")
 def utm_roundtrip(spark, sf_dir):
     p = view(spark, sf_dir, "shoreline_point")

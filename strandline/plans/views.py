@@ -87,6 +87,15 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "CAST(CASE WHEN pos + 20 * v < 28 THEN 0 WHEN pos + 20 * v < 32 THEN 1 WHEN pos + 20 * v < 36 THEN 2 ELSE 3 END AS INT) AS label",
         ],
     ),
+    "scene_grid": (
+        "embeddings",
+        [
+            "CAST(floor(vec_id / 64.0) AS INT) AS scene_id",
+            "CAST(3 * (floor(vec_id / 64.0) % 3) AS DOUBLE) AS x0",
+            "CAST(3 * (floor(vec_id / 64.0) % 2) AS DOUBLE) AS y0",
+            "CAST(32617 + floor(vec_id / 64.0) % 2 AS INT) AS epsg",
+        ],
+    ),
     "udm_pixel": (
         "cell",
         [
@@ -103,7 +112,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
 }
 
 _SQL_ONLY = {
-    "cell": "SELECT vec_id, CAST(i - 1 AS BIGINT) AS pos, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) r(i)",
+    "cell": "SELECT vec_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings",
     "date_cloud": "SELECT CAST(o_orderdate AS DATE) AS date_acquired, round(min(o_totalprice) / max_p, 3) AS cloud_cover FROM orders"
     " CROSS JOIN (SELECT max(o_totalprice) AS max_p FROM orders) m GROUP BY CAST(o_orderdate AS DATE), max_p",
     "date_meta": "SELECT CAST(l_shipdate AS DATE) AS date_acquired, round(4 + 200 * avg(l_discount), 3) AS acc_georef FROM lineitem WHERE l_quantity > 10 GROUP BY CAST(l_shipdate AS DATE)",

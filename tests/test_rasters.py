@@ -158,3 +158,25 @@ def test_contour_cleanup(spark):
     c = contours.clean(v, ["k"])
     assert sorted((r.k, r.seq) for r in c.collect()) == [(2, 0), (2, 2)]
     assert contours.long_enough(c, 5.0, ["k"]).count() == 2 and contours.long_enough(c, 5.1, ["k"]).count() == 0
+
+
+def test_shorelines_by_each_scenes_own_grid_come_out_in_one_projection(spark):
+    from strandline.functions import geometry as geo
+
+    g = np.zeros((30, 30), int)
+    g[:, 15:] = 3
+    lab = spark.createDataFrame([(k, r, c, int(g[r, c])) for k in (0, 1) for r in range(30) for c in range(30)], "scene_id int, row int, col int, label int")
+    udm = lab.select("scene_id", "row", "col", F.lit(False).alias("shadow"), (F.col("row") > 25).alias("cloud"), F.lit(False).alias("nodata"))
+    refs = {0: ([500000.0, 3.0, 0.0, 4000000.0, 0.0, -3.0], 32618), 1: ([900000.0, 3.0, 0.0, 4000100.0, 0.0, -3.0], 32617)}
+    table = spark.createDataFrame([(k, *v) for k, v in refs.items()], "scene_id int, georef array<double>, epsg int")
+    both = contours.shorelines(lab, udm, table, least_patch=10, cloud_dist=10.0, epsg=32618)
+    for k, (ref, epsg) in refs.items():
+        alone = contours.shorelines(lab.where(F.col("scene_id") == k), udm, ref, least_patch=10, cloud_dist=10.0)
+        lon, lat = geo.from_utm("x", "y", epsg)
+        x, y = geo.to_utm("lon", "lat", 32618)
+        want = alone.withColumn("lon", lon).withColumn("lat", lat).select("seq", x.alias("x"), y.alias("y")).orderBy("seq").collect()
+        got = both.where(F.col("scene_id") == k).orderBy("seq").collect()
+        assert [r.seq for r in got] == [r.seq for r in want] and len(got) > 15
+        assert np.allclose([(r.x, r.y) for r in got], [(r.x, r.y) for r in want], atol=1e-3)
+    with pytest.raises(ValueError):
+        contours.shorelines(lab, udm, refs[0][0], epsg=32618)
