@@ -394,7 +394,8 @@ def _land(spark, sf_dir):
 
 
 @query(
-    ", g AS (SELECT scene_id, row, col, CASE WHEN label > 1 THEN 1 ELSE 0 END AS v FROM label_pixel) SELECT a.scene_id, a.row, a.col, a.v + 2 * b.v + 4 * c.v + 8 * d.v AS \"case\" FROM g a JOIN g b ON a.scene_id = b.scene_id AND a.row = b.row AND b.col = a.col + 1 JOIN g c ON a.scene_id = c.scene_id AND c.row = a.row + 1 AND a.col = c.col JOIN g d ON a.scene_id = d.scene_id AND d.row = a.row + 1 AND d.col = a.col + 1",
+    ", g AS (SELECT scene_id, row - i AS row, col - j AS col, CASE WHEN label > 1 THEN (1 + 3 * i) * (1 + j) ELSE 0 END AS v FROM label_pixel, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j))"
+    " SELECT scene_id, row, col, CAST(sum(v) AS INT) AS \"case\" FROM g GROUP BY scene_id, row, col HAVING count(*) = 4",
     "label_pixel",
 )
 def contour_cells(spark, sf_dir):
