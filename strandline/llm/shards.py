@@ -3,6 +3,10 @@
 Rows are shuffled by seed inside their source; the r-th of a source's n rows stands at (r + phase) / n
 of the whole, so any stretch of that order holds every source in proportion; cutting it into equal
 stretches gives shards whose row counts differ by one at most (law ``rows``) and whose mixtures match.
+
+The seeded shuffle goes by the text, so rows of equal texts have one key: they follow each other in their
+source and stand at about the same place in others, and only a group that a cut or the places' noise parts
+is in two shards. Texts of very many rows are shuffled row by row, so no range of keys grows with them.
 """
 
 from __future__ import annotations
@@ -14,22 +18,28 @@ from strandline.functions.staging import staged
 from strandline.llm.order import prefix, random_key
 
 SHARDS = 24
+#: Texts of more rows than this are not kept together.
+GROUP_ROWS = 5000
 
 
 def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = 7919) -> DataFrame:
     """doc_id, source, size, text_crc32, law, shard, slot, grown_shard: one row for each row of ``docs``.
 
     size: UTF-8 bytes of the text (null: none) plus 8. text_crc32: unsigned, of the UTF-8 bytes, null as
-    empty. Null is a source of its own. Equal texts are rows like any others: a law of equal counts can't
-    hold them together, whatever their number. Rows alike in all columns get a place each. Every source
-    has a phase of its own, so that many sources of a row or two don't meet at one place.
+    empty. Null is a source of its own. Rows of equal texts are kept together as far as the law and GROUP_ROWS
+    allow. Rows alike in all columns get a place each; an empty table gives an empty one. Every source
+    has a phase of its own, so that many sources of a row or two don't meet at one place. Other columns are not
+    read.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = staged(
-        docs.select(
-            "doc_id", "source", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), random_key(seed, "doc_id", F.xxhash64(text)).alias("_key")
-        ).select("*", F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null"))
+    rows = docs.select("doc_id", "source", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_h"))
+    rows = staged(rows)
+    many = rows.groupBy("_h").count().where(F.col("count") > GROUP_ROWS).select("_h", F.lit(True).alias("_many"))
+    key = F.when(F.col("_many"), random_key(seed, "doc_id", "_h")).otherwise(random_key(seed, "_h"))
+    rows = rows.join(many, "_h", "left").select(
+        "doc_id", "source", "size", "text_crc32", key.alias("_key"), F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_null")
     )
+    rows = staged(rows)
     n = rows.count()
     rows = prefix(rows, n, ["_s", "_null"], F.col("_key") / F.lit(2.0**63), ["_key", "doc_id", "text_crc32", "size"], _rank="1")
     phase = random_key(seed + 1, "_s", "_null") / F.lit(2.0**63)

@@ -96,3 +96,35 @@ def test_prefix_sums_match_a_plain_count(spark):
     for g in range(3):
         own = sorted((r for r in got if r.g == g), key=lambda r: r.k)
         assert [r.before for r in own] == list(range(len(own))) and own[-1].s + own[-1].id == own[-1].s_all
+
+
+def test_shard_order_is_that_of_a_plain_ranking(docs, spark):
+    """Keys and phases from Spark's hash; ranks, places, order, shards and slots by hand."""
+    from strandline.llm.order import random_key
+
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "source", F.crc32(text).alias("crc"), random_key(7919, F.xxhash64(text)).alias("key"), (random_key(7920, F.coalesce("source", F.lit("")), F.col("source").isNull()) / F.lit(2.0**63)).alias("phase"), (F.octet_length(text) + 8).alias("size")).collect()
+    low = lambda x: -(2**63) if x is None else x
+    placed = []
+    for source in {r.source for r in rows}:
+        own = sorted((r for r in rows if r.source == source), key=lambda r: (r.key, low(r.doc_id), r.crc, r.size))
+        placed += [(min((i + r.phase) / len(own), 1 - 2.0**-53), source or "", source is None, r.key, low(r.doc_id), r) for i, r in enumerate(own)]
+    placed.sort(key=lambda p: p[:5])
+    n, want = len(placed), {}
+    for at, p in enumerate(placed):
+        shard = at * 24 // n
+        want.setdefault((p[5].doc_id, p[5].crc), []).append((shard, at - -(-shard * n // 24)))
+    got: dict = {}
+    for r in shards.interleave(docs).collect():
+        got.setdefault((r.doc_id, r.text_crc32), []).append((r.shard, r.slot))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_equal_texts_of_a_source_stay_together(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = shards.interleave(docs)
+    groups = rows.groupBy("source", "text_crc32").agg(F.count("shard").alias("n"), F.countDistinct("shard").alias("shards")).where("n between 2 and 20").collect()
+    # a group of n rows of a source is parted by one of 23 cuts at most
+    assert len(groups) > 50 and sum(g.shards > 1 for g in groups) <= 0.1 * len(groups) and max(g.shards for g in groups) <= 2
+    across = rows.groupBy("text_crc32").agg(F.count("shard").alias("n"), F.countDistinct("shard").alias("shards")).where("n between 2 and 20").collect()
+    assert sum(g.shards > 1 for g in across) <= 0.5 * len(across), (sum(g.shards > 1 for g in across), len(across))
