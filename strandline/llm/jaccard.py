@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.staging import staged, unstage
-from strandline.llm.textbytes import chunks, free_name, lower_ascii, mix64, space_words, word_hashes
+from strandline.llm.textbytes import chunks, free_name, lower_ascii, mix64, small_batches, space_words, word_hashes
 from strandline.operators.graph import connected_components
 
 BAND = 1.4
@@ -219,7 +219,7 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
                 columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), pa.array(nodes, mask=sizes == 0), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "node", "orders", "sketch", "wide"])
 
-    return docs.select("doc_id", row_key(), "text").mapInArrow(run, "doc_id long, key long, n long, node long, orders array<long>, sketch array<long>, wide array<long>")
+    return small_batches(docs).select("doc_id", row_key(), "text").mapInArrow(run, "doc_id long, key long, n long, node long, orders array<long>, sketch array<long>, wide array<long>")
 
 
 def _fresh(seen: set, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -248,7 +248,7 @@ def _signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 row, sig = signatures(*_take(x, at, rows), percent)
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(nodes[rows[row]] if len(row) else np.zeros(0, np.int64))], names=["sig", "node"])
 
-    return docs.select("text").mapInArrow(run, "sig long, node long")
+    return small_batches(docs).select("text").mapInArrow(run, "sig long, node long")
 
 
 def _set_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -262,7 +262,7 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
                 y, own = _take(x, at, rows)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.ListArray.from_arrays(pa.array(own, pa.int32()), pa.array(y.view(np.int64)))], names=["node", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return small_batches(docs).select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.order import random_key
-from strandline.llm.textbytes import chunks
+from strandline.llm.textbytes import chunks, small_batches
 
 BITS = 16
 #: Bits of the bins that hashes are counted in.
@@ -125,7 +125,7 @@ def fit(labelled: DataFrame, per_language: int = 1500, seed: int = 5) -> tuple[l
             some = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(c[some])], names=["lang", "gram", "n"])
 
-    counts = texts.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counts = small_batches(texts).mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(counts.lang.unique())
     c = np.zeros((1 << BITS, len(langs)))
     for k, lang in enumerate(langs):
@@ -227,7 +227,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, penalty: float
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own]
     added = [f"`{n}` {kind}" for n, kind in zip(names, ("string", "double", "array<double>"), strict=True)]
-    return docs.select(*[F.col(f"`{c}`") for c in own]).mapInArrow(run, ", ".join([*fields, *added]))
+    return small_batches(docs).select(*[F.col(f"`{c}`") for c in own]).mapInArrow(run, ", ".join([*fields, *added]))
 
 
 def held_out(doc_id: str = "doc_id"):

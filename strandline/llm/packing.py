@@ -9,7 +9,6 @@ while the rest would leave more than ``waste`` of itself as padding, a piece of
 
 from __future__ import annotations
 
-import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -21,13 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.staging import staged
-from strandline.llm.textbytes import chunks, space_words, word_hashes
+from strandline.llm.textbytes import chunks, small_batches, space_words, word_hashes
 
 CAPACITY = 2048
 END_ID = 1
 
 #: Units that a Python worker keeps with their ids; beyond it those met once go.
-KNOWN_UNITS = 500_000
+KNOWN_UNITS = 300_000
 #: Bytes of text that are split and looked up together.
 TEXT_BYTES = 1 << 20
 
@@ -65,7 +64,7 @@ class WordEncoder:
     def __init__(self, path: str):
         # a task has one core: the library's thread pool would only wait on it, and burn time doing so
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -74,10 +73,9 @@ class WordEncoder:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         # For lower-case Latin-1 letters and single spaces the normaliser and the split by pattern change
         # nothing: the same model with a plain split at spaces gives the same ids in less time.
-        plain = json.loads(self.tokenizer.to_str())
-        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
-        self.plain_model = Tokenizer.from_str(json.dumps(plain))
+        self.plain_model = Tokenizer(self.tokenizer.model)
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)
+        self.plain_model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), byte_level])
         self._forget()
 
     def _forget(self) -> None:
@@ -224,7 +222,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "doc_row"] + ["ids"] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return docs.select("doc_id", "text", F.monotonically_increasing_id()).mapInArrow(cut, PIECE + ", ids array<int>" * with_ids)
+    return small_batches(docs).select("doc_id", "text", F.monotonically_increasing_id()).mapInArrow(cut, PIECE + ", ids array<int>" * with_ids)
 
 
 def _numbered(level: int | Column, worker: Column, k: Column, bin_: Column) -> Column:

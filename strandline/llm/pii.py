@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.textbytes import chunks, free_name, spans
+from strandline.llm.textbytes import chunks, free_name, small_batches, spans
 
 #: Kinds of the base patterns, and those that only the CRF marks.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -522,7 +522,7 @@ def find(docs: DataFrame, crf: Crf, base: str = "base", spans: str = "spans") ->
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own]
     kind = "array<struct<kind:string,start:int,end:int>>"
-    return docs.select(*[F.col(f"`{c}`") for c in own]).mapInArrow(run, ", ".join([*fields, f"`{base}` {kind}", f"`{spans}` {kind}"]))
+    return small_batches(docs).select(*[F.col(f"`{c}`") for c in own]).mapInArrow(run, ", ".join([*fields, f"`{base}` {kind}", f"`{spans}` {kind}"]))
 
 
 def masked(docs: DataFrame, crf: Crf) -> DataFrame:

@@ -17,6 +17,17 @@ CHUNK_ROWS = 2048
 
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session, where it has Spark's default of 64 MB for Arrow batches, from now on takes 4 MB.
+
+    A task holds several batches of texts at once, in the JVM and in Python.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, "").lower() in ("67108864b", "67108864", "64m", "64mb"):
+        conf.set(key, "4m")
+    return df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as make it differ from all columns of ``df``."""
     taken = {c.lower() for c in df.columns}
