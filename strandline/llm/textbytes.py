@@ -23,7 +23,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     A task holds several batches of texts at once, in the JVM and in Python.
     """
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(key, "").lower() in ("67108864b", "67108864", "64m", "64mb"):
+    if conf.get(key).lower() in ("67108864b", "67108864", "64m", "64mb"):
         conf.set(key, "4m")
     return df
 
