@@ -1,50 +1,81 @@
-"""Polygon clipping, where built-in columns do not reach: a small Arrow UDF over footprint rings."""
+"""Polygon clipping as Column expressions: the area of a footprint ring inside a region of any shape."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-
-def plain_area(ring: list[tuple[float, float]]) -> float:
-    p = np.asarray(ring, float)
-    q = np.roll(p, -1, axis=0)
-    return float(abs((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum()) / 2) if len(p) > 2 else 0.0
-
-
-def clip_ring(ring: list[tuple[float, float]], window: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """The part of a ring inside a convex window (Sutherland and Hodgman 1974)."""
-    w = np.asarray(window, float)
-    turn = (w[:, 0] * np.roll(w[:, 1], -1) - np.roll(w[:, 0], -1) * w[:, 1]).sum()
-    w = w if turn > 0 else w[::-1]
-    out = [tuple(map(float, p)) for p in ring]
-    for (ax, ay), (bx, by) in zip(w, np.roll(w, -1, axis=0), strict=True):
-        if ax == bx and ay == by:
-            continue
-        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in out]
-        kept = []
-        for i, (p, s) in enumerate(zip(out, side, strict=True)):
-            q, t = out[i - 1], side[i - 1]
-            if (s >= 0) != (t >= 0):
-                u = t / (t - s)
-                kept.append((q[0] + u * (p[0] - q[0]), q[1] + u * (p[1] - q[1])))
-            if s >= 0:
-                kept.append(p)
-        out = kept
-        if not out:
-            break
+
+from strandline.functions import geometry as geo
+
+Ring = list[tuple[float, float]]
+
+
+def rings_of(region) -> list[Ring]:
+    """A region as rings, the first one outer and the others holes; a plain ring is a region of its own."""
+    return [list(region)] if isinstance(region[0][0], (int, float)) else [list(r) for r in region]
+
+
+def _turn(ring: Ring) -> float:
+    return sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True)) / 2
+
+
+def plain_area(region) -> float:
+    """Area of a region: its outer ring less its holes."""
+    rings = rings_of(region)
+    return abs(_turn(rings[0])) - sum(abs(_turn(r)) for r in rings[1:])
+
+
+def signed_triangles(region) -> list[tuple[float, Ring]]:
+    """Triangles with signs whose sum is 1 inside the region and 0 outside: fans from each ring's first corner.
+
+    A fan's triangles that run against the ring take away what the others have too much, so a ring need not be
+    convex; holes have the other sign.
+    """
+    out = []
+    for number, ring in enumerate(rings_of(region)):
+        side = (1 if _turn(ring) > 0 else -1) * (1 if number == 0 else -1)
+        for b, c in zip(ring[1:-1], ring[2:], strict=True):
+            t = [ring[0], b, c]
+            if turn := _turn(t):
+                out.append((float(side if turn > 0 else -side), t if turn > 0 else t[::-1]))
     return out
 
 
-def clipped_area(window: list[tuple[float, float]]):
-    """A pandas UDF: area of a ring (array of (x, y)) inside the window; null for null."""
-    window = [tuple(map(float, p)) for p in window]
+def _inside_edge(ring: Column, edge: Column) -> Column:
+    """The part of a ring left of an edge (Sutherland and Hodgman 1974): 0 to 2 points for each corner."""
+    side = lambda p: (edge.bx - edge.ax) * (p.y - edge.ay) - (edge.by - edge.ay) * (p.x - edge.ax)
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def corner(p, i):
+        q = F.element_at(ring, F.when(i == 0, F.size(ring)).otherwise(i))
+        s, t = side(p), side(q)
+        u = t / F.when(t != s, t - s)
+        crossing = point(q.x + u * (p.x - q.x), q.y + u * (p.y - q.y))
+        here = point(p.x, p.y)
+        return (
+            F.when((s >= 0) & (t >= 0), F.array(here))
+            .when(s >= 0, F.array(crossing, here))
+            .when(t >= 0, F.array(crossing))
+            .otherwise(F.slice(F.array(here), 1, 0))
+        )
+
+    return F.flatten(F.transform(ring, corner))
+
+
+def clipped_area(region):
+    """A function of a ring column (array of (x, y) doubles): its area inside the region; null for null.
+
+    The region is a ring, or an outer ring and its holes, of any shape; it is a parameter of some corners, and
+    each footprint costs its corners times the region's.
+    """
+    edge = lambda a, b: F.struct(*[F.lit(float(v)).alias(n) for n, v in zip(("ax", "ay", "bx", "by"), (*a, *b), strict=True)])
+    triangle = lambda s, t: F.struct(F.lit(s).alias("sign"), F.array(edge(t[0], t[1]), edge(t[1], t[2]), edge(t[2], t[0])).alias("edges"))
+    parts = F.array(*[triangle(s, t) for s, t in signed_triangles(region)])
 
-    @F.pandas_udf(DoubleType())
-    def area(rings: pd.Series) -> pd.Series:
-        one = lambda r: None if r is None else plain_area(clip_ring([(p["x"], p["y"]) for p in r], window))
-        return rings.map(one).astype("float64")
+    def area(ring: Column | str) -> Column:
+        points = F.transform(geo.c(ring), lambda p: F.struct(p.x.cast("double").alias("x"), p.y.cast("double").alias("y")))
+        # the clipped ring is put into an array of one, so that its area reads a lambda's variable and clips once
+        inside = lambda t: F.transform(F.array(F.aggregate(t.edges, points, _inside_edge)), lambda r: t.sign * geo.ring_area(r))[0]
+        return F.aggregate(F.transform(parts, inside), F.lit(0.0), lambda s, v: s + v)
 
     return area

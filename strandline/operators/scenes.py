@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions.names import BATCH_SIZE, acquired_date, batch_name, order_name_matches, property_or
+from strandline.operators.clip import clipped_area, plain_area
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
@@ -33,10 +34,9 @@ def covering(items: DataFrame, box: tuple, share: float = 0.5) -> DataFrame:
     return items.withColumn("area", geo.box_overlap(BOX, box)).where(F.col("area") > share * area)
 
 
-def polygon_coverage(items: DataFrame, region: list[tuple[float, float]], share: float = 0.5) -> DataFrame:
-    """The same for a convex region and footprint rings (``ring``, array of (x, y))."""
-    from strandline.operators.clip import clipped_area, plain_area
-
+def polygon_coverage(items: DataFrame, region: list, share: float = 0.5) -> DataFrame:
+    """The same for footprint rings (``ring``, array of (x, y)) and a region of any shape: a ring, or an outer
+    ring and its holes."""
     return items.withColumn("area", clipped_area(region)("ring")).where(F.col("area") > share * plain_area(region))
 
 

@@ -194,14 +194,6 @@ def scene_search(spark, sf_dir):
     return rounded(scenes.covering(scenes.in_months(found, ["01", "02", "03", "07"]), REGION), 6, "area").select("scene_id", "cloud_cover", "area")
 
 
-@query(None)
-def scene_polygon_coverage(spark, sf_dir):
-    p = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
-    ring = F.array(p("minx", "miny"), p("maxx", "miny"), p("maxx", "maxy"), p("minx", "maxy"))
-    items = view(spark, sf_dir, "scene_item").withColumn("ring", ring)
-    return scenes.polygon_coverage(items, [(0.25, 0.25), (0.75, 0.3), (0.7, 0.75), (0.3, 0.7)]).select("scene_id", F.round("area", 6).alias("area"))
-
-
 @query("SELECT CAST(acquired AS DATE) AS date, count(*) AS n, min(scene_id) AS first, max(scene_id) AS last FROM scene_item GROUP BY 1", "scene_item")
 def ids_by_date(spark, sf_dir):
     d = scenes.ids_by_date(view(spark, sf_dir, "scene_item"))

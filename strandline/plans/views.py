@@ -58,6 +58,65 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         "supplier",
         ["CAST(0 AS INT) AS line_id", "CAST(s_suppkey AS INT) AS seq", "CAST(100 * s_suppkey AS DOUBLE) AS x", "CAST(90 + 10 * (s_suppkey % 3) AS DOUBLE) AS y"],
     ),
+    "raster_file": (
+        "part",
+        [
+            "p_partkey AS file_id",
+            "CASE WHEN p_size % 10 = 0 THEN NULL ELSE CAST(p_partkey % 100 AS DOUBLE) END AS west",
+            "CAST(p_partkey % 100 + 100 * p_size AS DOUBLE) AS east",
+            "CAST(p_partkey % 70 AS DOUBLE) AS south",
+            "CAST(p_partkey % 70 + 120 * p_size AS DOUBLE) AS north",
+        ],
+    ),
+    "order_spec": (
+        "orders",
+        [
+            "o_orderkey AS order_id",
+            "CASE WHEN o_orderkey % 11 = 0 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS start_date",
+            "CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 - 1 AS INT) AS STRING) AS end_date",
+            "o_totalprice / 400000 AS cloud_cover",
+            "CAST(o_custkey % 13 AS DOUBLE) / 10 AS min_area_percentage",
+            "CASE WHEN o_orderkey % 4 = 0 THEN 'roi.shp' ELSE 'roi.geojson' END AS roi_path",
+        ],
+    ),
+    "scene_file": (
+        "events",
+        [
+            "event_id AS file_id",
+            "concat('/orders/', CAST(user_id AS STRING), CASE WHEN event_id % 2 = 0 THEN '/PSScene' ELSE '' END) AS folder",
+            "concat('2024010', CAST(event_id % 9 + 1 AS STRING), '_', lpad(CAST(event_id % 24 AS STRING), 2, '0'), '3015_', CAST(user_id AS STRING), '_', CAST(event_id AS STRING)) AS base",
+            "CASE event_id % 4 WHEN 0 THEN '_3B_x.tif' WHEN 1 THEN '_3B_udm.tif' WHEN 2 THEN '_3B_x.xml' ELSE '_3B_x.json' END AS ending",
+        ],
+    ),
+    "landsat_file": (
+        "events",
+        [
+            "concat('L', CAST(5 + user_id % 5 AS STRING)) AS sensor",
+            "CASE WHEN event_id % 3 = 0 OR (event_id % 3 = 2 AND user_id % 5 = 4) THEN 'meta' WHEN event_id % 3 = 1 THEN 'ms' ELSE 'mask' END AS kind",
+        ],
+    ),
+    "contour_vertex": (
+        "orders",
+        [
+            "o_custkey AS contour",
+            "o_orderkey AS seq",
+            "CASE WHEN o_orderkey % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice / 1000 END AS x",
+            "CASE WHEN o_orderkey % 44 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(o_orderkey % 100 AS DOUBLE) END AS y",
+        ],
+    ),
+    "region_side": ("customer", ["c_custkey AS region_id", "c_acctbal AS w", "CAST(c_custkey % 40 AS DOUBLE) AS h"]),
+    "order_tool": (
+        "orders",
+        ["o_orderkey AS order_id", "CASE o_orderkey % 3 WHEN 0 THEN ' Clip' WHEN 1 THEN 'TOAR ' ELSE 'coregister' END AS tool", "o_orderpriority AS other"],
+    ),
+    "order_file": (
+        "lineitem",
+        [
+            "l_orderkey AS order_id",
+            "concat('/o/', CAST(l_orderkey AS STRING), CASE WHEN l_partkey % 9 = 0 THEN '/other/' ELSE '/PSScene/' END, CAST(l_linenumber AS STRING),"
+            " CASE l_linenumber % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.XML' ELSE '.json' END) AS path",
+        ],
+    ),
     "band_pixel": (
         "cell",
         [

@@ -1,10 +1,11 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
-from strandline.operators.clip import clip_ring, clipped_area, plain_area
+from strandline.operators.clip import clipped_area, plain_area
 
 
 def one(spark, **columns):
@@ -71,8 +72,32 @@ def test_zone_at_the_date_line(spark):
 
 
 def test_clipping(spark):
-    assert plain_area(clip_ring(list(SQUARE), [(2, -1), (9, -1), (9, 9), (2, 9)])) == 8
-    assert clip_ring(list(SQUARE), [(7, 7), (9, 7), (9, 9)]) == []
     df = spark.range(1).select(ring(*SQUARE).alias("ring")).union(spark.sql("select cast(null as array<struct<x:double,y:double>>)"))
-    got = [r[0] for r in df.select(clipped_area([(0, 0), (4, 0), (0, 4)])("ring")).collect()]
+    area = lambda region: [r[0] for r in df.select(clipped_area(region)("ring")).collect()]
+    assert area([(2, -1), (9, -1), (9, 9), (2, 9)])[0] == pytest.approx(8)
+    assert area([(7, 7), (9, 7), (9, 9)])[0] == 0
+    got = area([(0, 0), (4, 0), (0, 4)])
     assert got[0] == pytest.approx(8) and got[1] is None
+
+
+def test_clipping_by_a_region_that_is_not_convex_and_has_a_hole(spark):
+    notched = [[(0, 0), (6, 0), (6, 6), (3, 1), (0, 6)], [(0.5, 0.2), (0.5, 0.8), (1, 0.8), (1, 0.2)]]
+    rng = np.random.default_rng(3)
+    at = (np.arange(1200) + 0.5) / 200  # a grid of points over the region's box
+    x, y = (v.ravel() for v in np.meshgrid(at, at))
+
+    def inside(p):
+        odd = np.zeros(len(x), bool)
+        for (ax, ay), (bx, by) in zip(p, p[1:] + p[:1], strict=True):
+            if ay != by:
+                odd ^= ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+        return odd
+
+    region = inside(notched[0]) & ~inside(notched[1])
+    assert plain_area(notched) == pytest.approx(20.7) and region.sum() / 40000 == pytest.approx(20.7, abs=0.02)
+    rings = [[tuple(p) for p in rng.uniform(0, 6, (3, 2)).tolist()] for _ in range(12)] + [[(0.1, 0.1), (5.9, 0.3), (3.0, 0.6), (5.8, 5.0), (0.2, 4.0)]]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rings)], "i int, ring array<struct<x:double,y:double>>")
+    for name in ("there", "back"):
+        got = dict(df.select("i", clipped_area(notched if name == "there" else [r[::-1] for r in notched])("ring")).collect())
+        for i, r in enumerate(rings):
+            assert got[i] == pytest.approx((inside(r) & region).sum() / 40000, abs=0.03)
