@@ -150,6 +150,29 @@ def _most_of_lines(links: DataFrame, stands: DataFrame) -> DataFrame:
     return votes.union(rest).groupBy(*reply).agg(F.max_by(parent, rank).alias("p"))
 
 
+def _in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows, staged, with ``part``: the number of their range in this order. Ranges hold about equal shares of
+    all rows, however many a thread or a conversation has; only a row for each range goes across one of those."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(rows.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
+
+
+def _numbered(rows: DataFrame, group: list[str], order: list[str], number: str) -> DataFrame:
+    """Adds each row's number, from 1, in its group, by ranges of ``part``."""
+    inside, across = Window.partitionBy(*group, "part").orderBy(*order), Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*group, "part").count().select(*group, "part", F.coalesce(F.sum("count").over(across), F.lit(0)).alias("_before"))
+    out = rows.withColumn(number, F.row_number().over(inside)).join(counts, [*group, "part"])
+    return out.withColumn(number, (F.col(number) + F.col("_before")).cast("int")).drop("_before")
+
+
+def _carried(rows: DataFrame, value: str) -> DataFrame:
+    """The largest ``value`` of a conversation up to each turn, itself included, by ranges of ``part``."""
+    inside, across = Window.partitionBy("conv_id", "part").orderBy("turn"), Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("conv_id", "part").agg(F.max(value).alias("_m")).select("conv_id", "part", F.max("_m").over(across).alias("_m"))
+    out = rows.withColumn(value, F.max(value).over(inside)).join(ends, ["conv_id", "part"])
+    return out.withColumn(value, F.greatest(value, "_m")).drop("_m")
+
+
 def linked(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, n_quoted, deepest, n_linked, parent_conv, parent_turn, root_conv, root_turn,
     depth, position: one row for each row of ``messages`` (conv_id, turn, role, text).
@@ -179,18 +202,23 @@ def linked(messages: DataFrame) -> DataFrame:
     stats = quoted.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_quoted"), F.max("d").alias("deepest"))
 
     nodes = own.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
-    before = Window.partitionBy("conv_id").orderBy("turn")
-    nodes = nodes.withColumn("prev", F.lag("turn").over(before)).join(chosen, ["conv_id", "turn"], "left").join(stats, ["conv_id", "turn"], "left")
+    nodes = _numbered(_in_ranges(nodes, "conv_id", "turn"), ["conv_id"], ["turn"], "rn")
+    # the turn before: the last one up to the row before
+    nodes = nodes.withColumn("prev", F.lag("turn").over(Window.partitionBy("conv_id", "part").orderBy("turn")))
+    last = nodes.groupBy("conv_id", "part").agg(F.max("turn").alias("last"))
+    last = last.select("conv_id", "part", F.lag("last").over(Window.partitionBy("conv_id").orderBy("part")).alias("last"))
+    nodes = nodes.join(last, ["conv_id", "part"]).withColumn("prev", F.coalesce("prev", "last"))
+    nodes = nodes.join(chosen, ["conv_id", "turn"], "left").join(stats, ["conv_id", "turn"], "left")
     up_conv = F.coalesce("p.parent_conv", F.when(F.col("prev").isNotNull(), F.col("conv_id")))
-    nodes = nodes.select("conv_id", "turn", up_conv.alias("parent_conv"), F.coalesce("p.parent_turn", "prev").alias("parent_turn"), "prev", "n_linked", "n_quoted", "deepest")
+    nodes = nodes.select("conv_id", "turn", "part", "rn", up_conv.alias("parent_conv"), F.coalesce("p.parent_turn", "prev").alias("parent_turn"), "prev", "n_linked", "n_quoted", "deepest")
     nodes = staged(nodes)
 
     # A run: a message and those after it that each reply to the turn before. Its place in the run is a window's
     # count, so only heads of runs that reply to something else need their chains followed.
     linked_head = F.col("parent_turn").isNotNull() & ~(F.col("parent_conv").eqNullSafe(F.col("conv_id")) & F.col("parent_turn").eqNullSafe(F.col("prev")))
     head = F.col("prev").isNull() | linked_head
-    runs = nodes.withColumn("rn", F.row_number().over(before)).withColumn("h", F.when(head, F.struct("rn", "turn"))).withColumn("link", linked_head)
-    runs = runs.withColumn("h", F.max("h").over(before)).select("conv_id", "turn", "parent_conv", "parent_turn", "link", F.col("h.turn").alias("ht"), (F.col("rn") - F.col("h.rn")).alias("off"))
+    runs = _carried(nodes.withColumn("h", F.when(head, F.struct("rn", "turn"))).withColumn("link", linked_head), "h")
+    runs = runs.select("conv_id", "turn", "parent_conv", "parent_turn", "link", F.col("h.turn").alias("ht"), (F.col("rn") - F.col("h.rn")).alias("off"))
     runs = staged(runs)
     target = runs.select(F.col("conv_id").alias("parent_conv"), F.col("turn").alias("parent_turn"), F.col("conv_id").alias("rc"), F.col("ht").alias("rt"), (F.col("off") + 1).alias("depth"))
     up = staged(runs.where("link").select("conv_id", "turn", "parent_conv", "parent_turn").join(target, ["parent_conv", "parent_turn"]).select("conv_id", "turn", "rc", "rt", "depth"))
@@ -205,9 +233,10 @@ def linked(messages: DataFrame) -> DataFrame:
     up = runs.join(top, ["conv_id", "ht"], "left").select(
         "conv_id", "turn", F.coalesce("rc", "conv_id").alias("rc"), F.coalesce("rt", "ht").alias("rt"), (F.coalesce("above", F.lit(0)) + F.col("off")).alias("depth")
     )
-    thread = Window.partitionBy("root_conv", "root_turn").orderBy("depth", "turn", "conv_id")
-    placed = up.select("conv_id", "turn", F.col("rc").alias("root_conv"), F.col("rt").alias("root_turn"), "depth").withColumn("position", F.row_number().over(thread))
-    placed = placed.join(nodes.drop("prev"), ["conv_id", "turn"])
+    up = up.select("conv_id", "turn", F.col("rc").alias("root_conv"), F.col("rt").alias("root_turn"), "depth")
+    order = ["depth", "turn", "conv_id"]
+    placed = _numbered(_in_ranges(up, "root_conv", "root_turn", *order), ["root_conv", "root_turn"], order, "position").drop("part")
+    placed = placed.join(nodes.drop("prev", "part", "rn"), ["conv_id", "turn"])
 
     kept = F.filter(F.split("text", "\r?\n"), lambda x: quote_depth(x) == 0)
     body = F.when(F.col("text").isNotNull(), F.btrim(F.array_join(kept, "\n"), F.lit(" \t\r\n")))

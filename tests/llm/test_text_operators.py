@@ -397,6 +397,24 @@ def test_deeper_quotes_and_wrapped_passages_link(spark):
     assert up[3, 2] == (3, 0) and up[2, 1] == (2, 0) and up[2, 3] == (2, 2)
 
 
+def test_a_long_conversation_that_many_others_quote_is_one_thread_in_order(spark):
+    n, others = 90, 70
+    rows = [(1, t, f"message number {t} of the long one") for t in range(n)]
+    rows += [(c, n + 1 + c % 3, f"> message number {c % 5} of the long one\nanswer {c}") for c in range(2, 2 + others)]
+    rows += [(c, n + 9, f"more of {c}") for c in range(2, 2 + others)]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string").repartition(7)
+    got = {(r.conv_id, r.turn): r for r in quotes.linked(df).collect()}
+    parent = {(1, t): (1, t - 1) if t else None for t in range(n)}
+    parent |= {(c, t): (1, c % 5) if t < n + 9 else (c, n + 1 + c % 3) for c, t, _ in rows if c > 1}
+    depth = {}
+    for m in sorted(parent, key=lambda m: m[1]):
+        depth[m] = depth[parent[m]] + 1 if parent[m] else 0
+    place = {m: i for i, m in enumerate(sorted(parent, key=lambda m: (depth[m], m[1], m[0])), 1)}
+    for m, r in got.items():
+        assert (r.root_conv, r.root_turn, r.depth, r.position) == (1, 0, depth[m], place[m])
+        assert (None if r.parent_conv is None else (r.parent_conv, r.parent_turn)) == parent[m]
+
+
 def test_plain_conversations_keep_their_turns(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     got = quotes.linked(df).collect()
