@@ -357,9 +357,10 @@ def otsu_threshold(spark, sf_dir):
 # --- neighbourhoods and contours -----------------------------------------------------------------------
 
 _BUFFER = """, v AS (SELECT DISTINCT CAST(round(y / 3) AS INT) AS r, CAST(round(x / 3) AS INT) AS c FROM reference_vertex),
-i AS (SELECT r, c FROM v WHERE r > 0 AND r < 64 AND c > 0 AND c < 4000),
+g AS (SELECT greatest(64, max(r) + 5) AS n_rows, greatest(4000, max(c) + 5) AS n_cols FROM v),
+i AS (SELECT r, c, n_rows, n_cols FROM v, g WHERE r > 0 AND r < n_rows AND c > 0 AND c < n_cols),
 o AS (SELECT a.k AS dr, b.k AS dc FROM range(-4, 5) a(k), range(-4, 5) b(k) WHERE a.k * a.k + b.k * b.k <= 16)
-SELECT DISTINCT CAST(r + dr AS BIGINT) AS row, CAST(c + dc AS BIGINT) AS col FROM i, o WHERE r + dr BETWEEN 0 AND 63 AND c + dc BETWEEN 0 AND 3999"""
+SELECT DISTINCT CAST(r + dr AS BIGINT) AS row, CAST(c + dc AS BIGINT) AS col FROM i, o WHERE r + dr BETWEEN 0 AND n_rows - 1 AND c + dc BETWEEN 0 AND n_cols - 1"""
 
 
 @query(_BUFFER, "reference_vertex")
