@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import ann, jaccard, langid, licenses, mixing, neardup, packing, pii, quotes, shards, sql
+from strandline.llm import ann, jaccard, langid, licenses, linededup, mixing, neardup, packing, pii, quotes, shards, sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op10_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_interleaved_shards,
         op9_jaccard_partenum,
         op10_collision_neardup,
+        op12_line_runs,
     )
 }
 
@@ -85,4 +91,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_license_diagonals": sql.LICENSES,
     "op9_jaccard_partenum": sql.JACCARD,
     "op10_collision_neardup": sql.NEAR_VECTORS,
+    "op12_line_runs": sql.LINES,
 }

@@ -48,6 +48,16 @@ reach(a, b) AS (SELECT a, a FROM links UNION SELECT reach.a, links.b FROM reach
 SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.least, vec_id) AS component_id, coalesce(c.least, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n USING (vec_id) LEFT JOIN (SELECT a AS vec_id, min(b) AS least FROM reach GROUP BY a) c USING (vec_id)"""
 
+_ENDS = " || ".join(["' '", *(f"chr({i})" for i in range(9, 14))])
+
+LINES = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, translate(trim(lines[i], {_ENDS}), '{_UP}', '{_LOW}') AS k FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+dead AS (SELECT k, max(doc_id) AS owner FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3),
+m AS (SELECT l.*, dead.k IS NOT NULL AND (doc_id IS NULL OR doc_id <> owner) AS gone FROM l LEFT JOIN dead USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id"""
+
 _MARKS = r"^[ \t]*((?:>[ \t]?)+)"
 
 QUOTES = rf"""
