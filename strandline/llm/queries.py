@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import ann, jaccard, langid, licenses, linededup, mixing, neardup, packing, pii, quotes, shards, sql
+from strandline.llm import ann, jaccard, langid, licenses, linededup, mixing, neardup, packing, pii, quotes, shards, sql, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,22 @@ def op10_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    explained = F.array(*[F.lit(v).cast("double") for v in model.explained])
+    out = whitening.whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("_c", "whitened"))
+    return out.select(
+        "vec_id",
+        (F.col("_c") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, "_c").cast("double").alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"),
+    )
+
+
 def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -81,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_interleaved_shards,
         op9_jaccard_partenum,
         op10_collision_neardup,
+        op11_jacobi_davidson_whitening,
         op12_line_runs,
     )
 }
