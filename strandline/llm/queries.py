@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import ann, jaccard, langid, licenses, linededup, mixing, neardup, packing, pii, quotes, shards, sql, whitening
+from strandline.llm import ann, jaccard, langid, licenses, linededup, mixing, neardup, packing, pii, quotes, repair, shards, sql, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,20 @@ def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, copies of the contract's damaged conversations; a dropped row has no copy."""
+    at = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    what = F.crc32(at) % 20
+    text = F.coalesce("text", F.lit(" "))
+    text = F.when(what == 1, "").when(what == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(what == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.when(what == 0, 0).when(what == 3, 2).otherwise(1).alias("copies"))
+
+
+def op13_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(damaged(table(spark, sf_dir, "conversations")), F.col("copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_collision_neardup,
         op11_jacobi_davidson_whitening,
         op12_line_runs,
+        op13_glr_repair,
     )
 }
 
