@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions.staging import staged
-from strandline.operators import masks
+from strandline.operators import chains, masks
 from strandline.operators.components import patches
-from strandline.operators.graph import connected_components
 from strandline.operators.masks import is_water
 from strandline.operators.spatial_join import away_from_mask
 
@@ -66,32 +64,17 @@ def segments(grid: DataFrame, value: str = "value") -> DataFrame:
     return cells(grid, value).where(F.col("case").between(1, 14)).select("scene_id", F.explode(out).alias("s")).select("scene_id", "s.*")
 
 
-def chained(segs: DataFrame) -> DataFrame:
-    """scene_id, contour_id, seq, row, col: the segments as ordered lines; a ring ends where it begins.
+def chained(segs: DataFrame, tile: int = 256, chunk: int = chains.CHUNK) -> DataFrame:
+    """scene_id, contour_id, part, seq, row, col: the segments as ordered lines; a ring ends where it begins.
 
-    Lines are the components of the segments' ends; a task orders one line at a time.
+    contour_id tells the line's least vertex; part is 0, as two lines never share a vertex. Segments are ranked along
+    their lines by chains.ordered(), and no task holds a line.
     """
-    segs = staged(segs)
-    end = lambda r, k: F.struct("scene_id", F.col(r).alias("r"), F.col(k).alias("c"))
-    comp = connected_components(segs.select(end("r0", "c0").alias("a"), end("r1", "c1").alias("b")))
-    at = comp.select(F.col("node.scene_id").alias("scene_id"), F.col("node.r").alias("r0"), F.col("node.c").alias("c0"), (F.col("component.r") * (1 << 32) + F.col("component.c")).alias("contour_id"))
-    kind = segs.schema["scene_id"].dataType.simpleString()
-
-    def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        nxt = {(a, b): (c, d) for a, b, c, d in pdf[["r0", "c0", "r1", "c1"]].itertuples(index=False)}
-        starts = sorted(set(nxt) - set(nxt.values()))
-        lines, left = [], dict(nxt)
-        for s in [*starts, *sorted(nxt)]:
-            if s not in left:
-                continue
-            line = [s]
-            while line[-1] in left:
-                line.append(left.pop(line[-1]))
-            lines.append(line)
-        rows = [(pdf["scene_id"].iloc[0], int(pdf["contour_id"].iloc[0]), part, i, r / 2, c / 2) for part, line in enumerate(lines) for i, (r, c) in enumerate(line)]
-        return pd.DataFrame(rows, columns=["scene_id", "contour_id", "part", "seq", "row", "col"])
-
-    return segs.join(at, ["scene_id", "r0", "c0"]).groupBy("scene_id", "contour_id").applyInPandas(order, f"scene_id {kind}, contour_id long, part int, seq int, row double, col double")
+    s = chains.ordered(segs, tile, chunk)
+    last = F.when(F.col("seq") == F.col("length") - 1, F.struct((F.col("seq") + 1).alias("seq"), F.col("r1").alias("r"), F.col("c1").alias("c")))
+    first = F.struct(F.col("seq").alias("seq"), F.col("r0").alias("r"), F.col("c0").alias("c"))
+    s = s.select("scene_id", (F.col("low.r") * (1 << 32) + F.col("low.c")).alias("contour_id"), F.explode(F.filter(F.array(first, last), lambda v: v.isNotNull())).alias("v"))
+    return s.select("scene_id", "contour_id", F.lit(0).alias("part"), F.col("v.seq").cast("int").alias("seq"), (F.col("v.r") / 2).alias("row"), (F.col("v.c") / 2).alias("col"))
 
 
 def clean(vertices: DataFrame, by: list[str], x: str = "x", y: str = "y") -> DataFrame:

@@ -26,12 +26,12 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None, *views: str):
-    """Registers a function as a query of its name, with DuckDB SQL over the given views."""
+    """Registers a function as a query of its name, with DuckDB SQL over the given views; it may be recursive."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLE_SQL[f.__name__] = (ctes(*views) if views else "") + sql
+            ORACLE_SQL[f.__name__] = (ctes(*views).replace("WITH ", "WITH RECURSIVE ", 1) if views else "") + sql
         return f
 
     return add
@@ -310,7 +310,29 @@ def qa_cloud_cover(spark, sf_dir):
     return masks.cloud_cover(view(spark, sf_dir, "udm_pixel"), masks.qa_cloud("qa"))
 
 
-@query()
+#: patch (scene_id, row, col, component, size) of the true pixels p (scene_id, row, col): runs of a row that touch runs
+#: of the next one, their reach, and the least pixel in it.
+_PATCHES = """, runs AS (SELECT scene_id, row, min(col) AS lo, max(col) AS hi FROM (SELECT *, col - row_number() OVER (PARTITION BY scene_id, row ORDER BY col) AS g FROM p) GROUP BY scene_id, row, g),
+touch AS (SELECT a.scene_id, a.row AS r, a.lo AS c, b.row AS r2, b.lo AS c2 FROM runs a JOIN runs b ON a.scene_id = b.scene_id AND (a.row = b.row + 1 OR a.row = b.row - 1) AND a.lo <= b.hi AND b.lo <= a.hi),
+reach(scene_id, r, c, r2, c2) AS (SELECT scene_id, row, lo, row, lo FROM runs UNION SELECT reach.scene_id, reach.r, reach.c, touch.r2, touch.c2 FROM reach JOIN touch ON reach.scene_id = touch.scene_id AND reach.r2 = touch.r AND reach.c2 = touch.c),
+root AS (SELECT scene_id, r, c, min(CAST(r2 AS BIGINT) * 4294967296 + c2) AS component FROM reach GROUP BY scene_id, r, c),
+patch AS (SELECT p.scene_id, p.row, p.col, component, count(*) OVER (PARTITION BY p.scene_id, component) AS size FROM p JOIN runs ON p.scene_id = runs.scene_id AND p.row = runs.row AND p.col BETWEEN lo AND hi JOIN root ON root.scene_id = p.scene_id AND r = p.row AND c = lo)"""
+
+
+def _without_specks_sql(least: int) -> str:
+    """keep (scene_id, row, col, cloud) of f (scene_id, row, col, cloud) without patches of under ``least`` pixels."""
+    return (
+        ", p AS (SELECT scene_id, row, col FROM f WHERE cloud)"
+        + _PATCHES
+        + ", mixed AS (SELECT scene_id, bool_or(cloud) AND NOT bool_and(cloud) AS two FROM f GROUP BY scene_id)"
+        + f", keep AS (SELECT f.scene_id, f.row, f.col, CASE WHEN two THEN coalesce(size >= {least}, false) ELSE cloud END AS cloud FROM f JOIN mixed USING (scene_id) LEFT JOIN patch USING (scene_id, row, col))"
+    )
+
+
+_RAW_CLOUD = "SELECT scene_id, row, col, qa & 14 <> 0 AS cloud FROM udm_pixel"
+
+
+@query(f", f AS ({_RAW_CLOUD})" + _without_specks_sql(40) + " SELECT scene_id, round(avg(CASE WHEN cloud THEN 1 ELSE 0 END), 3) AS cloud_cover FROM keep GROUP BY scene_id", "udm_pixel")
 def scene_cloud_cover(spark, sf_dir):
     # the cloud cover of a scene's file; qa_cloud_cover is the share of the raw bits
     pixels = view(spark, sf_dir, "udm_pixel").select("scene_id", "row", "col", masks.qa_cloud("qa").alias("cloud"))
@@ -398,13 +420,13 @@ def contour_cells(spark, sf_dir):
 _W = "PARTITION BY scene_id, {0} ORDER BY {1} ROWS BETWEEN {2}"
 
 
-def _opening_sql(size: int) -> str:
+def _opening_sql(size: int, raw: str = "SELECT scene_id, row, col, label > 1 AS land FROM label_pixel", flag: str = "land") -> str:
     f, b = f"CURRENT ROW AND {size - 1} FOLLOWING", f"{size - 1} PRECEDING AND CURRENT ROW"
     steps = [("min", "row", "col", f), ("min", "col", "row", f), ("max", "row", "col", b), ("max", "col", "row", b)]
-    q = "SELECT scene_id, row, col, CASE WHEN label > 1 THEN 1 ELSE 0 END AS v FROM label_pixel"
+    q = f"SELECT scene_id, row, col, CASE WHEN {flag} THEN 1 ELSE 0 END AS v FROM ({raw})"
     for fn, p, o, frame in steps:
         q = f"SELECT scene_id, row, col, {fn}(v) OVER ({_W.format(p, o, frame)}) AS v FROM ({q})"
-    return f"SELECT scene_id, row, col, v = 1 AS land FROM ({q})"
+    return f"SELECT scene_id, row, col, v = 1 AS {flag} FROM ({q})"
 
 
 @query(_opening_sql(3), "label_pixel")
@@ -412,12 +434,39 @@ def binary_opening(spark, sf_dir):
     return masks.opened(_land(spark, sf_dir), "land", 3, tile=16).select("scene_id", "row", "col", "land")
 
 
-@query()
+@query(", p AS (SELECT scene_id, row, col FROM label_pixel WHERE label > 1)" + _PATCHES + " SELECT scene_id, row, col, component, size FROM patch WHERE size >= 100", "label_pixel")
 def small_objects(spark, sf_dir):
     return components.patches(_land(spark, sf_dir).where("land"), 100, tile=16)
 
 
-@query()
+def _chains_sql(tail: str) -> str:
+    """walk (scene_id, hr, hc, seq, r, c): each line of s (scene_id, r0, c0, r1, c1), walked from where nothing comes,
+    then each ring from its least vertex: the only one from which no walk meets a lesser one."""
+    ends = {"T": "2 * row, 2 * col + 1", "B": "2 * row + 2, 2 * col + 1", "L": "2 * row + 1, 2 * col", "R": "2 * row + 1, 2 * col + 2"}
+    pieces = [f"SELECT scene_id, {ends[p[0]]}, {ends[p[1]]} FROM cells WHERE \"case\" = {case}" for case, parts in contours.SEGMENTS.items() for p in parts]
+    on = "ON s.scene_id = w.scene_id AND s.r0 = w.r AND s.c0 = w.c"
+    return (
+        f", s(scene_id, r0, c0, r1, c1) AS ({' UNION ALL '.join(pieces)}),"
+        " w(scene_id, hr, hc, seq, r, c) AS (SELECT scene_id, r0, c0, 0, r0, c0 FROM s WHERE NOT EXISTS (SELECT 1 FROM s b WHERE b.scene_id = s.scene_id AND b.r1 = s.r0 AND b.c1 = s.c0)"
+        f" UNION ALL SELECT w.scene_id, hr, hc, seq + 1, r1, c1 FROM w JOIN s {on}),"
+        " rest AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.scene_id = s.scene_id AND w.r = s.r0 AND w.c = s.c0)),"
+        " turn(scene_id, hr, hc, seq, r, c) AS (SELECT scene_id, r0, c0, 0, r0, c0 FROM rest"
+        f" UNION ALL SELECT w.scene_id, hr, hc, seq + 1, r1, c1 FROM turn w JOIN s {on} WHERE (seq = 0 OR w.r <> hr OR w.c <> hc) AND (r1 > hr OR r1 = hr AND c1 >= hc)),"
+        " walk AS (SELECT * FROM w UNION ALL SELECT * FROM turn WHERE (scene_id, hr, hc) IN (SELECT (scene_id, hr, hc) FROM turn WHERE seq > 0 AND r = hr AND c = hc))" + tail
+    )
+
+
+_CELLS = (
+    ", g AS (SELECT scene_id, row - i AS row, col - j AS col, CASE WHEN label > 1 THEN (1 + 3 * i) * (1 + j) ELSE 0 END AS v FROM label_pixel, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j)),"
+    " cells AS (SELECT scene_id, row, col, CAST(sum(v) AS INT) AS \"case\" FROM g GROUP BY scene_id, row, col HAVING count(*) = 4)"
+)
+
+
+@query(
+    _CELLS
+    + _chains_sql(" SELECT scene_id, min(CAST(r AS BIGINT) * 4294967296 + c) OVER (PARTITION BY scene_id, hr, hc) AS contour_id, 0 AS part, seq, r / 2.0 AS row, c / 2.0 AS col FROM walk"),
+    "label_pixel",
+)
 def land_contours(spark, sf_dir):
     return contours.chained(contours.segments(_land(spark, sf_dir).withColumn("value", F.col("land").cast("double"))))
 
@@ -432,7 +481,7 @@ def shoreline_pipeline(spark, sf_dir):
     return contours.shorelines(pixels, udm, GEOREF, buffer=buffer, least_patch=100, least_length=30)
 
 
-@query()
+@query(", f AS (" + _opening_sql(2, _RAW_CLOUD, "cloud") + ")" + _without_specks_sql(10) + " SELECT scene_id, row, col, cloud FROM keep", "udm_pixel")
 def cloud_mask_job(spark, sf_dir):
     return masks.cloud_mask(view(spark, sf_dir, "udm_pixel").select("scene_id", "row", "col", F.col("qa").alias("qa")), opening=2, least=10)
 
