@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions.staging import staged
-from strandline.operators import chains, masks
+from strandline.operators import chains, distance, masks
 from strandline.operators.components import patches
 from strandline.operators.masks import is_water
 from strandline.operators.spatial_join import away_from_mask
@@ -131,10 +133,9 @@ def shorelines(
         by = [c for c in key if c in buffer.columns]
         grid = grid.join(buffer.select(*by).distinct().withColumn("_in", F.lit(True)), by, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
     line = ["scene_id", "contour_id", "part"]
-    v = clean(masks.in_world(chained(segments(grid)), georef, [*line, "seq"]), line)
+    v = clean(masks.in_world(chained(segments(grid)), georef, [*line, "seq", "row", "col"]), line)
     v = long_enough(v, least_length, line)
-    for which, dist in (("nodata", nodata_dist), ("cloud", cloud_dist)):
-        v = away_from_mask(v, masks.in_world(edge_of(flag, which), georef, ["scene_id"]), dist, ["scene_id"])
+    v = _away(v, flag, georef, {"nodata": nodata_dist, "cloud": cloud_dist})
     v = long_enough(v, least_length, line)
     if epsg is not None:
         lon, lat = geo.from_utm("x", "y", F.col("epsg"))
@@ -145,13 +146,30 @@ def shorelines(
     return v if dates is None else v.join(dates.select("scene_id", "date"), "scene_id")
 
 
-def edge_of(pixels: DataFrame, flag: str) -> DataFrame:
-    """True pixels that have a false or no neighbour: for a point outside, the nearest true pixel is one of them."""
-    t = pixels.where(F.col(flag)).select("scene_id", "row", "col")
-    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, 0), (0, -1), (-1, 0))])
-    votes = t.withColumn("_o", F.explode(near)).select("scene_id", (F.col("row") + F.col("_o.i")).alias("row"), (F.col("col") + F.col("_o.j")).alias("col"), (F.col("_o.i") * F.col("_o.i") + F.col("_o.j") * F.col("_o.j") == 0).alias("own"))
-    inner = votes.groupBy("scene_id", "row", "col").agg(F.bool_or("own").alias("own"), F.count(F.lit(1)).alias("n"))
-    return inner.where(F.col("own") & (F.col("n") < 5)).select("scene_id", "row", "col")
+def _away(vertices: DataFrame, flags: DataFrame, georef: list[float] | DataFrame, least: dict[str, float]) -> DataFrame:
+    """Vertices that keep the distance ``least`` (in the world) from the pixels of each flag; row and col go.
+
+    Grids whose rows and columns are at right angles to the axes are measured in pixels, by a distance transform;
+    others by world coordinates, in cells.
+    """
+    mask = flags.where(" or ".join(least)).select("scene_id", "row", "col", *least)
+    if isinstance(georef, DataFrame):
+        grid = georef.select("scene_id", F.abs(F.col("georef")[5]).alias("tall"), F.abs(F.col("georef")[1]).alias("wide"), ((F.col("georef")[2] != 0) | (F.col("georef")[4] != 0)).alias("_askew"))
+        sizes = grid.agg(F.min(F.least("tall", "wide")).alias("least"), F.bool_or("_askew").alias("askew")).first()
+        pixel, askew = sizes.least, sizes.askew
+        v = vertices.join(grid.drop("_askew"), "scene_id")
+    else:
+        pixel, askew = min(abs(georef[1]), abs(georef[5])), georef[2] != 0 or georef[4] != 0
+        v = vertices.withColumns({"tall": F.lit(abs(float(georef[5]))), "wide": F.lit(abs(float(georef[1])))})
+    if pixel is None:
+        return vertices.drop("row", "col")
+    if askew:
+        for which, dist in least.items():
+            vertices = away_from_mask(vertices, masks.in_world(mask.where(which), georef, ["scene_id"]), dist, ["scene_id"])
+        return vertices.drop("row", "col")
+    v = v.withColumns({f"least_{k}": F.lit(float(d)) for k, d in least.items()})
+    v = distance.away_from_pixels(v, mask, math.ceil(max(least.values()) / pixel))
+    return v.select(*[c for c in vertices.columns if c not in ("row", "col")])
 
 
 def split_gaps(vertices: DataFrame, by: list[str]) -> DataFrame:

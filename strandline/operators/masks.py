@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
+from strandline.operators import distance
 from strandline.operators.spatial_join import cell
 
 #: Bits of the quality band: dilated cloud, cirrus, cloud.
@@ -89,16 +90,9 @@ def opened(pixels: DataFrame, flag: str, size: int = 6, tile: int = 256) -> Data
     return t.where("_own").withColumn(flag, F.col("_v") == 1).drop("_v", "_tr", "_tc", "_own")
 
 
-def disk(radius: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1) if i * i + j * j <= radius * radius]
-
-
 def dilated(marks: DataFrame, radius: int, n_rows: int | None = None, n_cols: int | None = None, by: list[str] = ("scene_id",)) -> DataFrame:
-    """Pixels within ``radius`` of a marked pixel (by, row, col): the disk's offsets exploded, then distinct."""
-    by = list(by)
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in disk(radius)])
-    out = marks.select(*by, "row", "col").distinct().withColumn("_o", F.explode(offsets))
-    out = out.select(*by, (F.col("row") + F.col("_o.i")).alias("row"), (F.col("col") + F.col("_o.j")).alias("col")).distinct()
+    """Pixels within ``radius`` of a marked pixel (by, row, col), by a distance transform on tiles."""
+    out = distance.dilated(marks, radius, list(by))
     if n_rows is not None:
         out = out.where(F.col("row").between(0, n_rows - 1) & F.col("col").between(0, n_cols - 1))
     return out

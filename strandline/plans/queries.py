@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions import names
-from strandline.operators import components, contours, labels, masks, quality, radiometry, scenes, spatial_join, transects
+from strandline.operators import components, contours, distance, labels, masks, quality, radiometry, scenes, spatial_join, transects
 from strandline.plans.views import ctes, view
 from strandline.sources import writers
 from strandline.streaming.incremental import order_states
@@ -310,20 +310,23 @@ def qa_cloud_cover(spark, sf_dir):
     return masks.cloud_cover(view(spark, sf_dir, "udm_pixel"), masks.qa_cloud("qa"))
 
 
-#: patch (scene_id, row, col, component, size) of the true pixels p (scene_id, row, col): runs of a row that touch runs
-#: of the next one, their reach, and the least pixel in it.
-_PATCHES = """, runs AS (SELECT scene_id, row, min(col) AS lo, max(col) AS hi FROM (SELECT *, col - row_number() OVER (PARTITION BY scene_id, row ORDER BY col) AS g FROM p) GROUP BY scene_id, row, g),
-touch AS (SELECT a.scene_id, a.row AS r, a.lo AS c, b.row AS r2, b.lo AS c2 FROM runs a JOIN runs b ON a.scene_id = b.scene_id AND (a.row = b.row + 1 OR a.row = b.row - 1) AND a.lo <= b.hi AND b.lo <= a.hi),
-reach(scene_id, r, c, r2, c2) AS (SELECT scene_id, row, lo, row, lo FROM runs UNION SELECT reach.scene_id, reach.r, reach.c, touch.r2, touch.c2 FROM reach JOIN touch ON reach.scene_id = touch.scene_id AND reach.r2 = touch.r AND reach.c2 = touch.c),
-root AS (SELECT scene_id, r, c, min(CAST(r2 AS BIGINT) * 4294967296 + c2) AS component FROM reach GROUP BY scene_id, r, c),
-patch AS (SELECT p.scene_id, p.row, p.col, component, count(*) OVER (PARTITION BY p.scene_id, component) AS size FROM p JOIN runs ON p.scene_id = runs.scene_id AND p.row = runs.row AND p.col BETWEEN lo AND hi JOIN root ON root.scene_id = p.scene_id AND r = p.row AND c = lo)"""
+def _patches_sql(k: str = "") -> str:
+    """patch (scene_id, row, col, component, size) of the true pixels p (scene_id, row, col): runs of a row that touch
+    runs of the next one, their reach, and the least pixel in it. All names end in ``k``."""
+    touch = f"reach{k}.scene_id = touch{k}.scene_id AND reach{k}.r2 = touch{k}.r AND reach{k}.c2 = touch{k}.c"
+    return f""", runs{k} AS (SELECT scene_id, row, min(col) AS lo, max(col) AS hi FROM (SELECT *, col - row_number() OVER (PARTITION BY scene_id, row ORDER BY col) AS g FROM p{k}) GROUP BY scene_id, row, g),
+touch{k} AS (SELECT a.scene_id, a.row AS r, a.lo AS c, b.row AS r2, b.lo AS c2 FROM runs{k} a JOIN runs{k} b ON a.scene_id = b.scene_id AND (a.row = b.row + 1 OR a.row = b.row - 1) AND a.lo <= b.hi AND b.lo <= a.hi),
+reach{k}(scene_id, r, c, r2, c2) AS (SELECT scene_id, row, lo, row, lo FROM runs{k} UNION SELECT reach{k}.scene_id, reach{k}.r, reach{k}.c, touch{k}.r2, touch{k}.c2 FROM reach{k} JOIN touch{k} ON {touch}),
+root{k} AS (SELECT scene_id, r, c, min(CAST(r2 AS BIGINT) * 4294967296 + c2) AS component FROM reach{k} GROUP BY scene_id, r, c),
+patch{k} AS (SELECT p.scene_id, p.row, p.col, component, count(*) OVER (PARTITION BY p.scene_id, component) AS size FROM p{k} p JOIN runs{k} q ON p.scene_id = q.scene_id AND p.row = q.row AND p.col BETWEEN lo AND hi
+ JOIN root{k} t ON t.scene_id = p.scene_id AND r = p.row AND c = lo)"""
 
 
 def _without_specks_sql(least: int) -> str:
     """keep (scene_id, row, col, cloud) of f (scene_id, row, col, cloud) without patches of under ``least`` pixels."""
     return (
         ", p AS (SELECT scene_id, row, col FROM f WHERE cloud)"
-        + _PATCHES
+        + _patches_sql()
         + ", mixed AS (SELECT scene_id, bool_or(cloud) AND NOT bool_and(cloud) AS two FROM f GROUP BY scene_id)"
         + f", keep AS (SELECT f.scene_id, f.row, f.col, CASE WHEN two THEN coalesce(size >= {least}, false) ELSE cloud END AS cloud FROM f JOIN mixed USING (scene_id) LEFT JOIN patch USING (scene_id, row, col))"
     )
@@ -417,6 +420,16 @@ def contour_cells(spark, sf_dir):
     return contours.cells(_land(spark, sf_dir).withColumn("value", F.col("land").cast("double")))
 
 
+@query(
+    ", o AS (SELECT a.i, b.i AS j, a.i * a.i + b.i * b.i AS square FROM range(-12, 13) a(i), range(-12, 13) b(i))"
+    " SELECT scene_id, CAST(row + i AS BIGINT) AS row, CAST(col + j AS BIGINT) AS col, min(square) AS square FROM udm_pixel, o WHERE cloud AND square <= 144 GROUP BY ALL",
+    "udm_pixel",
+)
+def cloud_distances(spark, sf_dir):
+    found = distance.distances(view(spark, sf_dir, "udm_pixel").where("cloud"), 12)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("row", "col")})
+
+
 _W = "PARTITION BY scene_id, {0} ORDER BY {1} ROWS BETWEEN {2}"
 
 
@@ -434,7 +447,7 @@ def binary_opening(spark, sf_dir):
     return masks.opened(_land(spark, sf_dir), "land", 3, tile=16).select("scene_id", "row", "col", "land")
 
 
-@query(", p AS (SELECT scene_id, row, col FROM label_pixel WHERE label > 1)" + _PATCHES + " SELECT scene_id, row, col, component, size FROM patch WHERE size >= 100", "label_pixel")
+@query(", p AS (SELECT scene_id, row, col FROM label_pixel WHERE label > 1)" + _patches_sql() + " SELECT scene_id, row, col, component, size FROM patch WHERE size >= 100", "label_pixel")
 def small_objects(spark, sf_dir):
     return components.patches(_land(spark, sf_dir).where("land"), 100, tile=16)
 
@@ -471,7 +484,35 @@ def land_contours(spark, sf_dir):
     return contours.chained(contours.segments(_land(spark, sf_dir).withColumn("value", F.col("land").cast("double"))))
 
 
-@query()
+def _long_sql(name: str, source: str, least: float) -> str:
+    """``name``: the lines of ``source`` (scene_id, contour_id, seq, x, y) with two vertices and this length."""
+    own = "PARTITION BY scene_id, contour_id"
+    step = f"sqrt(power(x - lag(x) OVER ({own} ORDER BY seq), 2) + power(y - lag(y) OVER ({own} ORDER BY seq), 2))"
+    return f", {name} AS (SELECT scene_id, contour_id, seq, x, y FROM (SELECT *, sum(d) OVER ({own}) AS l, count(*) OVER ({own}) AS n FROM (SELECT *, {step} AS d FROM {source})) WHERE n >= 2 AND l >= {least})"
+
+
+_SHORELINES = (
+    ", f AS (SELECT scene_id, row, col, cloud OR shadow AS cloud FROM udm_pixel)"
+    + _without_specks_sql(40)
+    + ", flag AS (SELECT scene_id, row, col, label > 1 AS land, keep.cloud, nodata FROM label_pixel JOIN keep USING (scene_id, row, col) JOIN (SELECT scene_id, row, col, nodata FROM udm_pixel) u USING (scene_id, row, col)),"
+    " p_land AS (SELECT scene_id, row, col FROM flag WHERE land)"
+    + _patches_sql("_land")
+    + ", near AS (SELECT * FROM (SELECT x AS x0, y AS y0, lead(x) OVER (ORDER BY seq) AS x1, lead(y) OVER (ORDER BY seq) AS y1 FROM reference_vertex) WHERE x1 IS NOT NULL),"
+    " centre AS (SELECT scene_id, row, col, (col + 0.5) * 3 AS px, (row + 0.5) * 3 AS py FROM flag WHERE NOT cloud AND NOT nodata),"
+    " foot AS (SELECT scene_id, row, col, px, py, x0, y0, x1, y1, greatest(0, least(1, ((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS u FROM centre JOIN near ON x0 < px + 250),"
+    " seen AS (SELECT DISTINCT scene_id, row, col FROM foot WHERE power(px - x0 - u * (x1 - x0), 2) + power(py - y0 - u * (y1 - y0), 2) <= 10000),"
+    " v AS (SELECT scene_id, row, col, CASE WHEN size >= 100 THEN 1 ELSE 0 END AS high FROM seen LEFT JOIN patch_land USING (scene_id, row, col)),"
+    " g AS (SELECT scene_id, row - i AS row, col - j AS col, high * (1 + 3 * i) * (1 + j) AS k FROM v, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j)),"
+    ' cells AS (SELECT scene_id, row, col, CAST(sum(k) AS INT) AS "case" FROM g GROUP BY scene_id, row, col HAVING count(*) = 4)'
+    + _chains_sql(", line AS (SELECT scene_id, min(CAST(r AS BIGINT) * 4294967296 + c) OVER (PARTITION BY scene_id, hr, hc) AS contour_id, seq, c * 1.5 AS x, r * -1.5 AS y FROM walk)")
+    + _long_sql("long", "line", 30)
+    + ", far AS (SELECT * FROM long WHERE NOT EXISTS (SELECT 1 FROM flag WHERE flag.scene_id = long.scene_id AND (cloud OR nodata) AND power(col * 3 - x, 2) + power(row * -3 - y, 2) < 3600))"
+    + _long_sql("done", "far", 30)
+    + " SELECT scene_id, contour_id, 0 AS part, seq, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM done"
+)
+
+
+@query(_SHORELINES, "label_pixel", "udm_pixel", "reference_vertex")
 def shoreline_pipeline(spark, sf_dir):
     # cloud and shadow are one mask to the operator; its specks go together, wherever they are
     udm = view(spark, sf_dir, "udm_pixel").withColumn("cloud", masks.cloud_or_shadow()).withColumn("shadow", F.lit(False))
