@@ -11,8 +11,26 @@ Ring = list[tuple[float, float]]
 
 
 def rings_of(region) -> list[Ring]:
-    """A region as rings, the first one outer and the others holes; a plain ring is a region of its own."""
-    return [list(region)] if isinstance(region[0][0], (int, float)) else [list(r) for r in region]
+    """A region as rings, the first one outer and the others holes; a plain ring is a region of its own.
+
+    Raises where a further ring is no hole, as it leaves the first one: regions of several parts are tables, for
+    overlay.covered_area().
+    """
+    rings = [list(region)] if isinstance(region[0][0], (int, float)) else [list(r) for r in region]
+    if any(not _in_or_on(p, rings[0]) for r in rings[1:] for p in r):
+        raise ValueError("a ring after the first lies outside it: several parts are a table of regions")
+    return rings
+
+
+def _in_or_on(p: tuple[float, float], ring: Ring) -> bool:
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        turn = (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax)
+        if turn == 0 and min(ax, bx) <= p[0] <= max(ax, bx) and min(ay, by) <= p[1] <= max(ay, by):
+            return True
+        if (ay > p[1]) != (by > p[1]) and (turn > 0) == (by > ay):
+            inside = not inside
+    return inside
 
 
 def _turn(ring: Ring) -> float:
@@ -41,7 +59,7 @@ def signed_triangles(region) -> list[tuple[float, Ring]]:
     return out
 
 
-def _inside_edge(ring: Column, edge: Column) -> Column:
+def inside_edges(ring: Column, edge: Column) -> Column:
     """The part of a ring left of an edge (Sutherland and Hodgman 1974): 0 to 2 points for each corner."""
     side = lambda p: (edge.bx - edge.ax) * (p.y - edge.ay) - (edge.by - edge.ay) * (p.x - edge.ax)
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
@@ -75,7 +93,7 @@ def clipped_area(region):
     def area(ring: Column | str) -> Column:
         points = F.transform(geo.c(ring), lambda p: F.struct(p.x.cast("double").alias("x"), p.y.cast("double").alias("y")))
         # the clipped ring is put into an array of one, so that its area reads a lambda's variable and clips once
-        inside = lambda t: F.transform(F.array(F.aggregate(t.edges, points, _inside_edge)), lambda r: t.sign * geo.ring_area(r))[0]
+        inside = lambda t: F.transform(F.array(F.aggregate(t.edges, points, inside_edges)), lambda r: t.sign * geo.ring_area(r))[0]
         return F.aggregate(F.transform(parts, inside), F.lit(0.0), lambda s, v: s + v)
 
     return area

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions.names import BATCH_SIZE, acquired_date, batch_name, order_name_matches, property_or
+from strandline.operators import overlay
 from strandline.operators.clip import clipped_area, plain_area
 
 BOX = ("minx", "miny", "maxx", "maxy")
@@ -40,6 +41,14 @@ def polygon_coverage(items: DataFrame, region: list, share: float = 0.5) -> Data
     return items.withColumn("area", clipped_area(region)("ring")).where(F.col("area") > share * plain_area(region))
 
 
+def regions_coverage(items: DataFrame, regions: DataFrame, share: float = 0.5, size: float = 0.25) -> DataFrame:
+    """The same for a table of regions (region_id, part, ring) of any number of parts, all at once: a footprint's area
+    in their union, overlaps once, against ``share`` of the sum of their areas."""
+    total = F.broadcast(overlay.total_area(regions))
+    found = overlay.covered_area(items, regions, size).crossJoin(total)
+    return found.where(F.col("area") > share * F.col("total")).drop("total")
+
+
 def big_enough(files: DataFrame, expected_km2: float, threshold: float = 0.9) -> tuple[DataFrame, DataFrame]:
     """(files whose bounds hold at least that share of the expected area, the others); without bounds: others."""
     ok = F.coalesce((F.col("right") - F.col("left")) * (F.col("top") - F.col("bottom")) >= expected_km2 * 1e6 * threshold, F.lit(False))

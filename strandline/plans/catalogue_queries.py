@@ -84,6 +84,53 @@ def scene_region_coverage(spark, sf_dir):
     return _coverage(spark, sf_dir, _NOTCHED)
 
 
+#: Corners of a part about its centre in units of (a, b) and plain ones, and of the hole that some have.
+_KITE = [(-1, 0, 0, 0), (0, -1, 0, 0), (1, 0, 0, 0.02), (0, 1, -0.01, 0)]
+_HOLE = [(0, 0, -0.01, -0.01), (0, 0, 0.01, -0.01), (0, 0, 0.01, 0.01), (0, 0, -0.01, 0.01)]
+
+
+def _corner_values() -> str:
+    rows = [(ring, *p, *q) for ring, points in enumerate((_KITE, _HOLE)) for p, q in zip(points, points[1:] + points[:1], strict=True)]
+    return ", ".join(f"({', '.join(f'CAST({v} AS DOUBLE)' for v in r)})" for r in rows)
+
+
+#: The union's height along the middle of each stretch of x without a break, times the stretch: breaks are corners,
+#: crossings of edges and of the box's sides; a part covers what lies between its first and second edge, and so on.
+_REGIONS_SQL = f""", box AS (SELECT DISTINCT minx, miny, maxx, maxy FROM scene_item),
+k(ring, fa, fb, fx, fy, ta, tb, tx, ty) AS (VALUES {_corner_values()}),
+side AS (SELECT part, ring, cx + fa * a + fx AS px, cy + fb * b + fy AS py, cx + ta * a + tx AS qx, cy + tb * b + ty AS qy FROM region_part, k WHERE ring = 0 OR holed),
+total AS (SELECT sum(CASE WHEN ring = 0 THEN area ELSE -area END) AS total FROM (SELECT part, ring, abs(sum(px * qy - qx * py)) / 2 AS area FROM side GROUP BY part, ring)),
+e AS (SELECT row_number() OVER () AS i, part, px, py, qx, qy, (qy - py) / (qx - px) AS m FROM (SELECT part, CASE WHEN px < qx THEN px ELSE qx END AS px, CASE WHEN px < qx THEN py ELSE qy END AS py, CASE WHEN px < qx THEN qx ELSE px END AS qx, CASE WHEN px < qx THEN qy ELSE py END AS qy FROM side WHERE px <> qx)),
+cross_x AS (SELECT ((f.py - f.m * f.px) - (e.py - e.m * e.px)) / (e.m - f.m) AS x FROM e JOIN e f ON e.i < f.i AND e.m <> f.m AND e.px < f.qx AND f.px < e.qx),
+anywhere AS (SELECT px AS x FROM e UNION SELECT qx FROM e UNION SELECT x FROM cross_x),
+breaks AS (SELECT minx, miny, maxx, maxy, x FROM box, anywhere WHERE x > minx AND x < maxx UNION SELECT *, minx FROM box UNION SELECT *, maxx FROM box
+ UNION SELECT minx, miny, maxx, maxy, px + (y - py) / m FROM (SELECT *, miny AS y FROM box UNION SELECT *, maxy FROM box), e WHERE m <> 0 AND px + (y - py) / m > greatest(minx, px) AND px + (y - py) / m < least(maxx, qx)),
+slab AS (SELECT *, lead(x) OVER (PARTITION BY minx, miny, maxx, maxy ORDER BY x) AS z FROM breaks),
+hit AS (SELECT slab.*, part, py + ((x + z) / 2 - px) * m AS y FROM slab JOIN e ON px <= x AND qx >= z WHERE z > x),
+turn AS (SELECT *, row_number() OVER (PARTITION BY minx, miny, maxx, maxy, x, part ORDER BY y) AS n, lead(y) OVER (PARTITION BY minx, miny, maxx, maxy, x, part ORDER BY y) AS up FROM hit),
+piece AS (SELECT minx, miny, maxx, maxy, x, z, greatest(miny, y) AS lo, least(maxy, up) AS hi FROM turn WHERE n % 2 = 1 AND up > miny AND y < maxy),
+run AS (SELECT *, coalesce(max(hi) OVER (PARTITION BY minx, miny, maxx, maxy, x ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo) AS reached FROM piece),
+cover AS (SELECT minx, miny, maxx, maxy, sum((z - x) * greatest(0, hi - greatest(lo, reached))) AS area FROM run GROUP BY minx, miny, maxx, maxy)
+SELECT scene_id, round(area + 1.3e-8, 6) AS area FROM scene_item JOIN cover USING (minx, miny, maxx, maxy), total WHERE area > 0.1 * total"""
+
+
+def _regions(spark, sf_dir):
+    """Regions of ten and more parts that overlap, some with holes, as rings."""
+    corner = lambda k: F.struct((F.col("cx") + k[0] * F.col("a") + k[2]).alias("x"), (F.col("cy") + k[1] * F.col("b") + k[3]).alias("y"))
+    kite, hole = (F.array(*[corner(k) for k in points]) for points in (_KITE, _HOLE))
+    rings = F.when(F.col("holed"), F.array(kite, hole)).otherwise(F.array(kite))
+    return view(spark, sf_dir, "region_part").select("region_id", "part", F.explode(rings).alias("ring"))
+
+
+@query(_REGIONS_SQL, "scene_item", "region_part")
+def scene_regions_coverage(spark, sf_dir):
+    p = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
+    ring = F.array(p("minx", "miny"), p("maxx", "miny"), p("maxx", "maxy"), p("minx", "maxy"))
+    items = view(spark, sf_dir, "scene_item").withColumn("ring", ring)
+    found = scenes.regions_coverage(items, _regions(spark, sf_dir), share=0.1)
+    return found.select("scene_id", F.round(F.col("area") + 1.3e-8, 6).alias("area"))
+
+
 @query("SELECT file_id, coalesce((east - west) * (north - south) >= 9e6, false) AS good, round((east - west) * (north - south) / 1e6, 6) AS km2 FROM raster_file", "raster_file")
 def files_by_area(spark, sf_dir):
     f = view(spark, sf_dir, "raster_file").withColumnsRenamed({"west": "left", "east": "right", "south": "bottom", "north": "top"})

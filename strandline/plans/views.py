@@ -54,6 +54,18 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "o_custkey % 100 AS site",
         ],
     ),
+    "region_part": (
+        "supplier",
+        [
+            "s_suppkey % 10 AS region_id",
+            "s_suppkey AS part",
+            "CAST(s_suppkey * 37 % 100 AS DOUBLE) / 80 AS cx",
+            "CAST(s_suppkey * 53 % 97 AS DOUBLE) / 80 AS cy",
+            "CAST(5 + s_suppkey % 7 AS DOUBLE) / 100 AS a",
+            "CAST(4 + s_suppkey % 5 AS DOUBLE) / 100 AS b",
+            "s_suppkey % 4 = 0 AS holed",
+        ],
+    ),
     "reference_vertex": (
         "supplier",
         ["CAST(0 AS INT) AS line_id", "CAST(s_suppkey AS INT) AS seq", "CAST(100 * s_suppkey AS DOUBLE) AS x", "CAST(90 + 10 * (s_suppkey % 3) AS DOUBLE) AS y"],
