@@ -19,6 +19,12 @@ node is first compared with its neighbour; the signature picks one of a few such
 makes components, and only pairs of a group across components are then tested, by size and by parity sketches where
 they meet, and by the sets themselves if these let them pass. So no link between components goes unseen,
 and a group of near copies costs its size.
+
+A group of many sets across components, as texts round one boilerplate make, is split further: its sets' members are
+ordered by how few sets have them, and two sets that link share one of the first members of both (the prefixes of
+Chaudhuri, Ganti and Kaushik, "A Primitive Operator for Similarity Joins in Data Cleaning", 2006, and the shorter ones
+of the smaller set of Xiao et al., "Efficient Similarity Joins for Near Duplicate Detection", 2008). What such texts have
+in common comes last, so those that are not alike do not meet.
 """
 
 from __future__ import annotations
@@ -43,6 +49,8 @@ ORDERS = 4
 SKETCH_LONGS = 16
 WIDE_LONGS = 64
 LARGE = 1200
+#: Nodes of a group across components above which its pairs are found by prefixes; either way finds all of them.
+CROWD = 48
 #: Bits of the map of nodes that share a signature: 4 MB, whatever the input.
 MAP_BITS = 1 << 25
 
@@ -361,10 +369,37 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """sig, node, c (component so far) of the groups of three and more nodes that are in several components."""
+    """sig, node, c (component so far), k (nodes) of the groups of three and more nodes that are in several components."""
     known = shared.select("sig", "node").distinct().join(found, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
     some = known.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi and k > 2")
-    return known.join(some.select("sig"), "sig")
+    return known.join(some.select("sig", "k"), "sig")
+
+
+def _prefix_pairs(crowd: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) across components among the nodes of ``crowd`` (node, n, c, sketch, wide) that may link.
+
+    Members in one set alone come first in the order and meet nothing, so they are counted and not moved on.
+    """
+    sets = _sets_of(crowd.select("node"), docs, width)
+    members = sets.join(crowd.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    spread = members.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    own = Window.partitionBy("node")
+    some = members.join(spread, "s").withColumn("_k", F.count(F.lit(1)).over(own)).withColumn("_r", F.row_number().over(own.orderBy("f", "s")))
+    place = F.col("n") - F.col("_k") + F.col("_r")
+    least = lambda share, whole: F.ceil(F.lit(share) * F.col("n") / F.lit(whole))
+    some = some.where(place <= F.col("n") - least(percent, 100) + 1)
+    rows = staged(some.select("s", "node", "n", (place <= F.col("n") - least(2 * percent, 100 + percent) + 1).alias("first")))
+    unstage(sets)
+    a = rows.where("first").select("s", F.col("node").alias("a"), F.col("n").alias("_m"))
+    b = rows.select("s", F.col("node").alias("b"), F.col("n").alias("_n"))
+    meet = (a["s"] == b["s"]) & ((F.col("_m") < F.col("_n")) | ((F.col("_m") == F.col("_n")) & (F.col("a") < F.col("b")))) & (F.col("_m") * 100 >= F.col("_n") * percent)
+    pairs = a.join(b, meet).select("a", "b").distinct()
+    for k in ("a", "b"):
+        pairs = pairs.join(crowd.select(*[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "n", "c", "sketch", "wide")]), k)
+    found = pairs.where((F.col("a_c") != F.col("b_c")) & _may_link("a", "b", percent))
+    out = staged(found.select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
+    unstage(rows)
+    return out
 
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -381,14 +416,20 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     links = _verified(pairs.where(_may_link("a", "b", percent)).select("a", "b", *ends), docs, width, percent)
     found = staged(connected_components(links))
     # what is left: pairs across components are tested where they meet, by size and parity, and few leave the join
-    left = _open(shared, found).join(known, "node")
+    left = _open(shared, found)
+    crowded = left.where("k > " + str(CROWD)).select("node", "c").distinct()
+    crowd = staged(crowded.join(known, "node"))
+    left = left.where("k <= " + str(CROWD)).drop("k").join(known, "node")
     pair = (F.col("a_sig") == F.col("b_sig")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
     more = side(left, "a").join(side(left, "b"), pair & _may_link("a", "b", percent))
-    more = more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), *ends).distinct()
+    more = more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), *ends)
+    if not crowd.isEmpty():
+        more = more.union(_prefix_pairs(crowd, docs, width, percent))
+    more = more.distinct()
     extra = _verified(more, docs, width, percent)
     if not extra.isEmpty():
         found = staged(connected_components(links.union(extra)))
-    unstage(shared, nodes, links, extra)
+    unstage(shared, nodes, links, extra, crowd)
     reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     ids = reps.join(found, "node")
     least = ids.groupBy("component").agg(F.min("rep").alias("least"))
