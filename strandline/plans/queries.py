@@ -145,9 +145,20 @@ def points_by_date(spark, sf_dir):
     return transects.points_by_date(v).select("date", F.size("points").cast("long").alias("n"), total("x").alias("sx"), total("y").alias("sy"))
 
 
-@query()
+@query(
+    _STATS
+    + _MODE
+    + _SERIES
+    + f""", p AS (SELECT DISTINCT date, round(x, 4) AS x, round(y, 4) AS y FROM (SELECT date, {_ON.replace("shore_x", "x").replace("shore_y", "y")} FROM kept JOIN transect USING (transect_id))),
+w(date, seq, cur, rest) AS (SELECT date, 0, v[1], v[2:] FROM (SELECT date, list_sort(list({{'x': x, 'y': y}})) AS v FROM p GROUP BY date HAVING count(*) > 1)
+ UNION ALL SELECT date, seq + 1, {{'x': best.x, 'y': best.y}}, list_filter(rest, lambda q: q.x <> best.x OR q.y <> best.y)
+ FROM (SELECT *, list_min(list_transform(rest, lambda q: {{'d': (q.x - cur.x) * (q.x - cur.x) + (q.y - cur.y) * (q.y - cur.y), 'x': q.x, 'y': q.y}})) AS best FROM w WHERE len(rest) > 0))
+SELECT date, seq, cur.x AS x, cur.y AS y FROM w""",
+    *_POINTS,
+)
 def ordered_lines(spark, sf_dir):
-    return transects.dated_lines(_series_points(spark, sf_dir))
+    # rounded before the walk: a tie may not hang on an engine's last digit
+    return transects.dated_lines(rounded(_series_points(spark, sf_dir), 4, "x", "y"))
 
 
 def _series_points(spark, sf_dir):

@@ -104,3 +104,24 @@ def test_time_series_in_degrees(spark):
     shift = lambda df, *c: df.withColumns({k: F.col(k) + (400000.0 if k[0] == "x" else 4000000.0) for k in c})
     r = transects.time_series(shift(points, "x", "y"), shift(lines, "x0", "y0", "x1", "y1"), epsg=32618).first()
     assert -78 < r.shore_x < -75 and 36 < r.shore_y < 37 and -78 < r.x < -75
+
+
+def test_the_walk_is_that_of_all_distances():
+    rng = np.random.default_rng(1)
+    for k in range(60):
+        n = int(rng.integers(2, 200))
+        p = np.unique(rng.integers(0, 12 + k, (n, 2)).astype(float) if k % 2 else rng.normal(size=(n, 2)), axis=0)
+        left, order = np.ones(len(p), bool), [0]
+        left[0] = False
+        for _ in range(len(p) - 1):
+            d = np.where(left, ((p - p[order[-1]]) ** 2).sum(1), np.inf)
+            order.append(int(d.argmin()))
+            left[order[-1]] = False
+        assert transects.nearest_walk(p) == order
+
+
+def test_a_date_of_many_points(spark):
+    n = 100_000
+    p = spark.range(n).select(F.lit(1).alias("date"), (F.col("id") * 7919 % n).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    got = transects.dated_lines(p)
+    assert got.count() == n and got.where("seq <> x").isEmpty()
