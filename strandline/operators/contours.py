@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandline.functions import geometry as geo
 from strandline.functions.staging import staged
 from strandline.operators import chains, distance, masks
+from strandline.operators import reference as reference_lines
 from strandline.operators.components import patches
 from strandline.operators.masks import is_water
 from strandline.operators.spatial_join import away_from_mask
@@ -107,6 +108,8 @@ def shorelines(
     nodata_dist: float = 60,
     cloud_dist: float = 60,
     epsg: int | None = None,
+    reference: DataFrame | None = None,
+    reference_dist: float = 100,
 ) -> DataFrame:
     """scene_id, [date,] contour_id, part, seq, x, y: shorelines of all scenes at once.
 
@@ -115,12 +118,15 @@ def shorelines(
     vertices near missing data or clouds go, what is then too short goes. A line whose middle went keeps
     its two sides as one line. Scenes without a mask drop out, as do scenes where nothing is left.
 
+    ``reference`` is the reference line itself (line_id, seq, lon, lat): pixels farther from it than ``reference_dist``
+    are blanked, measured in each scene's own zone and grid.
+
     ``georef`` is one georeference for all scenes, or a table (scene_id, georef, epsg) with each scene's own and
     its UTM projection. Lengths and distances are measured there; ``epsg`` then names the UTM projection that
     all lines come out in.
     """
-    if not isinstance(georef, DataFrame) and epsg is not None:
-        raise ValueError("an output projection needs each scene's own: give georef as a table")
+    if not isinstance(georef, DataFrame) and (epsg is not None or reference is not None):
+        raise ValueError("an output projection and a reference line need each scene's own: give georef as a table")
     key = ["scene_id", "row", "col"]
     flag = labels.join(mask.select(*key, "shadow", "cloud", "nodata"), key).select(*key, (~is_water("label", list(water))).alias("land"), (F.col("cloud") | F.col("shadow")).alias("cloud"), "nodata")
     flag = staged(flag)
@@ -129,6 +135,9 @@ def shorelines(
         flag = flag.join(land, key, "left").withColumn("land", F.coalesce("_big", F.lit(False))).drop("_big")
     value = F.when(~(F.col("cloud") | F.col("nodata")), F.col("land").cast("double"))
     grid = flag.select(*key, value.alias("value"))
+    if reference is not None:
+        near = reference_lines.line_buffer(reference, georef, reference_lines.tiles_of(flag), reference_dist)
+        grid = grid.join(near.withColumn("_in", F.lit(True)), key, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
     if buffer is not None:
         by = [c for c in key if c in buffer.columns]
         grid = grid.join(buffer.select(*by).distinct().withColumn("_in", F.lit(True)), by, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")

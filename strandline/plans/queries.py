@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
 from strandline.functions import names
-from strandline.operators import components, contours, distance, labels, masks, quality, radiometry, scenes, spatial_join, transects
+from strandline.operators import components, contours, distance, labels, masks, quality, radiometry, reference, scenes, spatial_join, transects
 from strandline.plans.views import ctes, view
 from strandline.sources import writers
 from strandline.streaming.incremental import order_states
@@ -568,14 +568,43 @@ def clipped_scenes(spark, sf_dir):
     return masks.clipped(view(spark, sf_dir, "band_pixel"), region, _scene_grids(spark, sf_dir)).select("scene_id", "row", "col", "band", "dn")
 
 
+def _east_grids(spark, sf_dir):
+    """The scenes' grids where their zones have land: moved to the zones' coordinates."""
+    return _scene_grids(spark, sf_dir).withColumn("georef", F.transform("georef", lambda v, i: v + F.when(i == 0, EAST).when(i == 3, NORTH).otherwise(0.0)))
+
+
+def _reference_lines(spark, sf_dir):
+    """The reference line as longitude and latitude, once in each zone that scenes lie in."""
+    zones = _scene_grids(spark, sf_dir).select("epsg").distinct()
+    v = view(spark, sf_dir, "reference_vertex").crossJoin(F.broadcast(zones))  # two zones
+    lon, lat = geo.from_utm(F.col("x") + EAST, F.col("y") + NORTH, F.col("epsg"))
+    return v.select(F.concat_ws("/", "line_id", "epsg").alias("line_id"), "seq", lon.alias("lon"), lat.alias("lat"))
+
+
+@query(
+    ", s AS (SELECT x AS ax, y AS ay, lead(x) OVER (ORDER BY seq) AS bx, lead(y) OVER (ORDER BY seq) AS ay2 FROM reference_vertex), l AS (SELECT ax, ay, bx, ay2 AS by_ FROM s WHERE bx IS NOT NULL),"
+    " p AS (SELECT scene_id, row, col, x0 + (col + 0.5) * 3 AS px, y0 + (row + 0.5) * 3 AS py FROM label_pixel JOIN (SELECT DISTINCT scene_id, x0, y0 FROM scene_grid) g USING (scene_id)),"
+    " u AS (SELECT *, greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)))) AS t FROM p JOIN l ON ax < px + 150)"
+    " SELECT DISTINCT scene_id, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col FROM u WHERE power(px - ax - t * (bx - ax), 2) + power(py - ay - t * (by_ - ay), 2) <= 1600",
+    "label_pixel",
+    "scene_grid",
+    "reference_vertex",
+)
+def scene_reference_buffer(spark, sf_dir):
+    # the line in each scene's own zone and grid, on the pixels that the scene has
+    pixels = view(spark, sf_dir, "label_pixel").select("scene_id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+    near = reference.line_buffer(_reference_lines(spark, sf_dir), _east_grids(spark, sf_dir), reference.tiles_of(pixels, 16), 40, tile=16)
+    return near.join(pixels, ["scene_id", "row", "col"], "left_semi")
+
+
 @query()
 def projected_shorelines(spark, sf_dir):
-    # from labels to dated lines in one projection, each scene by its own georeference and zone
+    # from labels to dated lines in one projection, each scene by its own georeference and zone, near the reference line
     pixels, grids = view(spark, sf_dir, "label_pixel"), _scene_grids(spark, sf_dir)
     udm = masks.without_specks(view(spark, sf_dir, "udm_pixel").withColumn("cloud", masks.cloud_or_shadow()).withColumn("shadow", F.lit(False)), "cloud", 40)
-    east = grids.withColumn("georef", F.transform("georef", lambda v, i: v + F.when(i == 0, EAST).when(i == 3, NORTH).otherwise(0.0)))
+    east = _east_grids(spark, sf_dir)
     dates = grids.select("scene_id", F.date_add(F.lit("2023-01-01").cast("date"), F.col("scene_id")).alias("date"))
-    return contours.shorelines(pixels, udm, east, dates=dates, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6, epsg=ZONE)
+    return contours.shorelines(pixels, udm, east, dates=dates, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6, epsg=ZONE, reference=_reference_lines(spark, sf_dir), reference_dist=60)
 
 
 @query("SELECT date, x, y, true AS back FROM shoreline_point", "shoreline_point")
