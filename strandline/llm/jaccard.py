@@ -288,15 +288,19 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.where(F.getbit("_byte", hit) == 1).drop("bucket", "bits", "_bit", "_byte")
 
 
+def _near_sketches(a: str, b: str, percent: int) -> Column:
+    """False where sizes or narrow parities rule out a link of the nodes with columns ``{a}_n`` and so on."""
+    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    odd: Column = sum((F.bit_count(F.col(f"{a}_sketch")[i].bitwiseXOR(F.col(f"{b}_sketch")[i])) for i in range(SKETCH_LONGS)), F.lit(0))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (odd * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """False where sizes or parities rule out a link of the nodes with columns ``{a}_n`` and so on."""
+    """The same by the wide parities too, of nodes that both have them."""
     n, m, u, v = F.col(f"{a}_n"), F.col(f"{b}_n"), F.col(f"{a}_wide"), F.col(f"{b}_wide")
-    within = lambda bits: bits * (100 + percent) <= (n + m) * (100 - percent)
-    differ = lambda x, y: F.bit_count(x.bitwiseXOR(y))
-    odd: Column = sum((differ(F.col(f"{a}_sketch")[i], F.col(f"{b}_sketch")[i]) for i in range(SKETCH_LONGS)), F.lit(0))
-    more = F.aggregate(F.zip_with(u, v, differ), F.lit(0), lambda t, k: t + k)
-    wide = F.when((F.size(u) > 0) & (F.size(v) > 0), within(more)).otherwise(F.lit(True))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & within(odd) & wide
+    more = F.aggregate(F.zip_with(u, v, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, k: t + k)
+    wide = F.when((F.size(u) > 0) & (F.size(v) > 0), more * (100 + percent) <= (n + m) * (100 - percent)).otherwise(F.lit(True))
+    return _near_sketches(a, b, percent) & wide
 
 
 def _sets_of(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -378,25 +382,30 @@ def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
 def _prefix_pairs(crowd: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) across components among the nodes of ``crowd`` (node, n, c, sketch, wide) that may link.
 
-    Members in one set alone come first in the order and meet nothing, so they are counted and not moved on.
+    Members in one set alone come first in the order and meet nothing, so they are counted and not moved on; nor are
+    those that only sets of one component have.
     """
     sets = _sets_of(crowd.select("node"), docs, width)
-    members = sets.join(crowd.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    spread = members.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    members = sets.join(crowd.select("node", "c"), "node").select("node", "c", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    spread = members.groupBy("s").agg(F.count(F.lit(1)).alias("f"), (F.min("c") < F.max("c")).alias("_two")).where("f > 1")
     own = Window.partitionBy("node")
     some = members.join(spread, "s").withColumn("_k", F.count(F.lit(1)).over(own)).withColumn("_r", F.row_number().over(own.orderBy("f", "s")))
     place = F.col("n") - F.col("_k") + F.col("_r")
     least = lambda share, whole: F.ceil(F.lit(share) * F.col("n") / F.lit(whole))
     some = some.where(place <= F.col("n") - least(percent, 100) + 1)
-    rows = staged(some.select("s", "node", "n", (place <= F.col("n") - least(2 * percent, 100 + percent) + 1).alias("first")))
+    some = some.where("_two").withColumn("_at", place).join(crowd.select("node", "sketch"), "node")
+    rows = staged(some.select("s", "node", "c", "n", "sketch", "_at", (F.col("_at") <= F.col("n") - least(2 * percent, 100 + percent) + 1).alias("first")))
     unstage(sets)
-    a = rows.where("first").select("s", F.col("node").alias("a"), F.col("n").alias("_m"))
-    b = rows.select("s", F.col("node").alias("b"), F.col("n").alias("_n"))
-    meet = (a["s"] == b["s"]) & ((F.col("_m") < F.col("_n")) | ((F.col("_m") == F.col("_n")) & (F.col("a") < F.col("b")))) & (F.col("_m") * 100 >= F.col("_n") * percent)
-    pairs = a.join(b, meet).select("a", "b").distinct()
+    side = lambda df, k: df.select("s", *[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "c", "n", "sketch", "_at")])
+    a, b = side(rows.where("first"), "a"), side(rows, "b")
+    ahead = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
+    # what both can have in common from their first common member on
+    rest = 1 + F.least(F.col("a_n") - F.col("a__at"), F.col("b_n") - F.col("b__at"))
+    enough = rest * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    pairs = a.join(b, (a["s"] == b["s"]) & (F.col("a_c") != F.col("b_c")) & ahead & enough & _near_sketches("a", "b", percent)).select("a", "b").distinct()
     for k in ("a", "b"):
-        pairs = pairs.join(crowd.select(*[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "n", "c", "sketch", "wide")]), k)
-    found = pairs.where((F.col("a_c") != F.col("b_c")) & _may_link("a", "b", percent))
+        pairs = pairs.join(crowd.select(*[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "n", "sketch", "wide")]), k)
+    found = pairs.where(_may_link("a", "b", percent))
     out = staged(found.select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
     unstage(rows)
     return out
