@@ -37,11 +37,10 @@ def in_zones(vertices: DataFrame) -> DataFrame:
 
 def segments_in_zones(lines: DataFrame) -> DataFrame:
     """epsg, x0, y0, x1, y1 of the segments of lines (line_id, seq, lon, lat), in every zone where both ends are."""
-    w = Window.partitionBy("line_id").orderBy("seq")
-    ends = lines.select("lon", "lat", F.lead("lon").over(w).alias("_lon"), F.lead("lat").over(w).alias("_lat")).where("_lon is not null")
-    first = in_zones(ends).withColumnsRenamed({"x": "x0", "y": "y0"})
-    x, y = geo.to_utm("_lon", "_lat", F.col("epsg"))
-    return first.select("epsg", "x0", "y0", x.alias("x1"), y.alias("y1"))
+    placed = lines.select("line_id", "lon", "lat", F.row_number().over(Window.partitionBy("line_id").orderBy("seq")).alias("_k"))
+    after = Window.partitionBy("line_id", "epsg").orderBy("_k")
+    v = in_zones(placed).select("epsg", "x", "y", "_k", F.lead(F.struct("_k", "x", "y")).over(after).alias("_v"))
+    return v.where("_v._k = _k + 1").select("epsg", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("_v.x").alias("x1"), F.col("_v.y").alias("y1"))
 
 
 def _tile_boxes(tiles: DataFrame, grids: DataFrame, tile: int) -> DataFrame:

@@ -607,6 +607,48 @@ def projected_shorelines(spark, sf_dir):
     return contours.shorelines(pixels, udm, east, dates=dates, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6, epsg=ZONE, reference=_reference_lines(spark, sf_dir), reference_dist=60)
 
 
+_JOB = (
+    ", f AS (SELECT scene_id, row, col, cloud OR shadow AS cloud FROM udm_pixel)"
+    + _without_specks_sql(40)
+    + ", good AS (SELECT im_paths AS scene_id FROM classifier_logit WHERE logit > 0), place AS (SELECT DISTINCT scene_id, x0 AS left_, y0 AS low_, epsg FROM scene_grid),"
+    " flag AS (SELECT scene_id, row, col, label > 1 AS land, keep.cloud, nodata FROM label_pixel JOIN good USING (scene_id) JOIN keep USING (scene_id, row, col) JOIN (SELECT scene_id, row, col, nodata FROM udm_pixel) u USING (scene_id, row, col)),"
+    " p_land AS (SELECT scene_id, row, col FROM flag WHERE land)"
+    + _patches_sql("_land")
+    + ", near AS (SELECT * FROM (SELECT x AS ax, y AS ay, lead(x) OVER (ORDER BY seq) AS bx, lead(y) OVER (ORDER BY seq) AS cy FROM reference_vertex) WHERE bx IS NOT NULL),"
+    " centre AS (SELECT scene_id, row, col, left_ + (col + 0.5) * 3 AS px, low_ + (row + 0.5) * 3 AS py FROM flag JOIN place USING (scene_id) WHERE NOT cloud AND NOT nodata),"
+    " foot AS (SELECT *, greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * (cy - ay)) / ((bx - ax) * (bx - ax) + (cy - ay) * (cy - ay)))) AS u FROM centre JOIN near ON ax < px + 250),"
+    " seen AS (SELECT DISTINCT scene_id, row, col FROM foot WHERE power(px - ax - u * (bx - ax), 2) + power(py - ay - u * (cy - ay), 2) <= 3600),"
+    " v AS (SELECT scene_id, row, col, CASE WHEN size >= 100 THEN 1 ELSE 0 END AS high FROM seen LEFT JOIN patch_land USING (scene_id, row, col)),"
+    " g AS (SELECT scene_id, row - i AS row, col - j AS col, high * (1 + 3 * i) * (1 + j) AS k FROM v, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(i, j)),"
+    ' cells AS (SELECT scene_id, row, col, CAST(sum(k) AS INT) AS "case" FROM g GROUP BY scene_id, row, col HAVING count(*) = 4)'
+    + _chains_sql(", line AS (SELECT scene_id, hr * 4294967296 + hc AS contour_id, seq, c * 1.5 AS x, r * 1.5 AS y FROM walk)")
+    + _long_sql("long", "line", 30)
+    + ", far AS (SELECT * FROM long WHERE NOT EXISTS (SELECT 1 FROM flag WHERE flag.scene_id = long.scene_id AND power(col * 3 - x, 2) + power(row * 3 - y, 2) < CASE WHEN nodata THEN 81 WHEN cloud THEN 36 ELSE 0 END))"
+    + _long_sql("done", "far", 30)
+    # scenes of the other zone are far from the transects, but their dates count
+    + ", shoreline_point AS (SELECT CAST('2023-01-01' AS DATE) + CAST(scene_id AS INT) AS date, left_ + x + (CASE WHEN epsg = 32618 THEN 0 ELSE 1000000 END) AS x, low_ + y AS y FROM done JOIN place USING (scene_id)), turned AS (SELECT transect_id, y0 AS x0, x0 / 10 AS y0, y1 AS x1, x1 / 10 AS y1 FROM transect)"
+    + _STATS.replace("JOIN transect", "JOIN turned")
+    + _MODE
+    + _SERIES
+    + f"SELECT date AS dates, x1 + {EAST} AS x, y1 + {NORTH} AS y, transect_id, round(cross_distance, 4) AS cross_distance, round(shore_x + {EAST}, 4) AS shore_x, round(shore_y + {NORTH}, 4) AS shore_y FROM (SELECT *, {_ON} FROM kept JOIN turned USING (transect_id))"
+)
+
+
+@query(_JOB, "label_pixel", "udm_pixel", "reference_vertex", "scene_grid", "classifier_logit", "transect")
+def scenes_to_series(spark, sf_dir):
+    # the whole job: good scenes with their masks, to lines near the reference in one projection, to distances by transect and date
+    good = quality.verdicts(view(spark, sf_dir, "classifier_logit")).where("im_classes = 'good'").select(F.col("im_paths").alias("scene_id"))
+    pixels = view(spark, sf_dir, "label_pixel").join(good, "scene_id", "left_semi")
+    udm = masks.without_specks(view(spark, sf_dir, "udm_pixel").withColumn("cloud", masks.cloud_or_shadow()).withColumn("shadow", F.lit(False)), "cloud", 40)
+    east = _east_grids(spark, sf_dir)
+    dates = east.select("scene_id", F.date_add(F.lit("2023-01-01").cast("date"), F.col("scene_id")).alias("date"))
+    lines = contours.shorelines(pixels, udm, east, dates=dates, least_patch=100, least_length=30, nodata_dist=9, cloud_dist=6, epsg=ZONE, reference=_reference_lines(spark, sf_dir), reference_dist=60)
+    # the fixture's transects, turned so that they cross these scenes' shorelines
+    turned = {"x0": F.col("y0") + EAST, "y0": F.col("x0") / 10 + NORTH, "x1": F.col("y1") + EAST, "y1": F.col("x1") / 10 + NORTH}
+    series = transects.time_series(lines.select("date", "x", "y"), view(spark, sf_dir, "transect").withColumns(turned))
+    return rounded(series, 4, "cross_distance", "shore_x", "shore_y")
+
+
 @query("SELECT date, x, y, true AS back FROM shoreline_point", "shoreline_point")
 def utm_roundtrip(spark, sf_dir):
     p = view(spark, sf_dir, "shoreline_point")
