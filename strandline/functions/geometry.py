@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -126,14 +126,16 @@ def _central(epsg: Column) -> Column:
     return F.radians((epsg % 100) * 6 - 183.0)
 
 
-def to_utm(lon, lat, epsg) -> tuple[Column, Column]:
-    """Easting and northing in the UTM zone ``epsg`` (326zz or 327zz)."""
-    epsg = c(epsg) if not isinstance(epsg, int) else F.lit(epsg)
+def _sphere(lon, lat, epsg: Column) -> tuple[Column, Column]:
+    """The point on the sphere of the same area, as its northing and easting in radians."""
     phi, lam = F.radians(c(lat)), F.radians(c(lon)) - _central(epsg)
     e = 2 * math.sqrt(_N) / (1 + _N)
     s = F.sin(phi)
     t = F.sinh(F.atanh(s) - e * F.atanh(e * s))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+    return F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+
+
+def _plane(xi: Column, eta: Column, epsg: Column) -> tuple[Column, Column]:
     east, north = eta, xi
     for j, a in enumerate(_ALPHA, 1):
         east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
@@ -142,17 +144,45 @@ def to_utm(lon, lat, epsg) -> tuple[Column, Column]:
     return _E0 + _K0 * _R * east, n0 + _K0 * _R * north
 
 
-def from_utm(x, y, epsg) -> tuple[Column, Column]:
-    """Longitude and latitude of a point of the UTM zone ``epsg``."""
+def to_utm(lon, lat, epsg) -> tuple[Column, Column]:
+    """Easting and northing in the UTM zone ``epsg`` (326zz or 327zz)."""
     epsg = c(epsg) if not isinstance(epsg, int) else F.lit(epsg)
+    return _plane(*_sphere(lon, lat, epsg), epsg)
+
+
+def with_utm(df: DataFrame, lon: str, lat: str, epsg: str, x: str = "x", y: str = "y") -> DataFrame:
+    """``df`` with to_utm() of its columns, step by step: each step is computed once, in small generated code."""
+    xi, eta = _sphere(F.col(lon), F.col(lat), F.col(epsg))
+    east, north = _plane(F.col("_xi"), F.col("_eta"), F.col(epsg))
+    return df.withColumns({"_xi": xi, "_eta": eta}).withColumns({x: east, y: north}).drop("_xi", "_eta")
+
+
+def with_lonlat(df: DataFrame, x: str, y: str, epsg: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``df`` with from_utm() of its columns, step by step in the same way."""
+    xi0, eta0 = _unrolled(F.col(x), F.col(y), F.col(epsg))
+    found = _ellipsoid(F.col("_xi"), F.col("_eta"), F.col(epsg))
+    return df.withColumns({"_xi": xi0, "_eta": eta0}).withColumns({lon: found[0], lat: found[1]}).drop("_xi", "_eta")
+
+
+def _unrolled(x, y, epsg: Column) -> tuple[Column, Column]:
     n0 = F.when(epsg >= 32700, 1e7).otherwise(0.0)
     xi, eta = (c(y) - n0) / (_K0 * _R), (c(x) - _E0) / (_K0 * _R)
     xi0, eta0 = xi, eta
     for j, b in enumerate(_BETA, 1):
         xi0 = xi0 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
         eta0 = eta0 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    return xi0, eta0
+
+
+def _ellipsoid(xi0: Column, eta0: Column, epsg: Column) -> tuple[Column, Column]:
     chi = F.asin(F.sin(xi0) / F.cosh(eta0))
     phi = chi
     for j, d in enumerate(_DELTA, 1):
         phi = phi + d * F.sin(2 * j * chi)
     return F.degrees(_central(epsg) + F.atan2(F.sinh(eta0), F.cos(xi0))), F.degrees(phi)
+
+
+def from_utm(x, y, epsg) -> tuple[Column, Column]:
+    """Longitude and latitude of a point of the UTM zone ``epsg``."""
+    epsg = c(epsg) if not isinstance(epsg, int) else F.lit(epsg)
+    return _ellipsoid(*_unrolled(x, y, epsg), epsg)

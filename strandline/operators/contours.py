@@ -147,11 +147,10 @@ def shorelines(
     v = _away(v, flag, georef, {"nodata": nodata_dist, "cloud": cloud_dist})
     v = long_enough(v, least_length, line)
     if epsg is not None:
-        lon, lat = geo.from_utm("x", "y", F.col("epsg"))
-        x, y = geo.to_utm("_lon", "_lat", epsg)
-        v = v.join(georef.select("scene_id", "epsg"), "scene_id").withColumn("_lon", lon).withColumn("_lat", lat)
-        other = F.col("epsg") != epsg
-        v = v.withColumn("_x", F.when(other, x).otherwise(F.col("x"))).withColumn("y", F.when(other, y).otherwise(F.col("y"))).withColumn("x", F.col("_x")).drop("_x", "_lon", "_lat", "epsg")
+        v = v.join(georef.select("scene_id", F.col("epsg").alias("_own")), "scene_id").withColumn("_to", F.lit(epsg))
+        v = geo.with_utm(geo.with_lonlat(v, "x", "y", "_own", "_lon", "_lat"), "_lon", "_lat", "_to", "_x", "_y")
+        other = F.col("_own") != epsg
+        v = v.withColumns({k: F.when(other, F.col(f"_{k}")).otherwise(F.col(k)) for k in ("x", "y")}).drop("_own", "_to", "_lon", "_lat", "_x", "_y")
     return v if dates is None else v.join(dates.select("scene_id", "date"), "scene_id")
 
 

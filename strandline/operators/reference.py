@@ -31,8 +31,7 @@ def in_zones(vertices: DataFrame) -> DataFrame:
     near = F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.pmod(own + d, F.lit(60)) + 1)
     codes = F.concat(F.transform(near, lambda z: z + 32600), F.transform(near, lambda z: z + 32700))
     v = vertices.withColumn("epsg", F.explode(codes)).where(((F.col("epsg") < 32700) & (F.col("lat") > -2)) | ((F.col("epsg") > 32700) & (F.col("lat") < 2)))
-    x, y = geo.to_utm("lon", "lat", F.col("epsg"))
-    return v.withColumn("x", x).withColumn("y", y)
+    return geo.with_utm(v, "lon", "lat", "epsg")
 
 
 def segments_in_zones(lines: DataFrame) -> DataFrame:

@@ -577,8 +577,8 @@ def _reference_lines(spark, sf_dir):
     """The reference line as longitude and latitude, once in each zone that scenes lie in."""
     zones = _scene_grids(spark, sf_dir).select("epsg").distinct()
     v = view(spark, sf_dir, "reference_vertex").crossJoin(F.broadcast(zones))  # two zones
-    lon, lat = geo.from_utm(F.col("x") + EAST, F.col("y") + NORTH, F.col("epsg"))
-    return v.select(F.concat_ws("/", "line_id", "epsg").alias("line_id"), "seq", lon.alias("lon"), lat.alias("lat"))
+    v = geo.with_lonlat(v.withColumns({"x": F.col("x") + EAST, "y": F.col("y") + NORTH}), "x", "y", "epsg")
+    return v.select(F.concat_ws("/", "line_id", "epsg").alias("line_id"), "seq", "lon", "lat")
 
 
 @query(
