@@ -71,5 +71,5 @@ def test_packed_pieces_are_the_documents(steps):
 
 def test_it_is_registered(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
     assert corpus_pipeline.run(spark, SF).count() > 100
