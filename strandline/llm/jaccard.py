@@ -16,11 +16,11 @@ its empty rests too.
 Sets are known by a 64-bit hash (a node), so copies are one node, however many there are. A group that
 shares a signature is sorted by minima of its sets' features, which puts like sets side by side, and every
 node is first compared with its neighbour; the signature picks one of a few such orders. What that links
-makes components, and only pairs of a group across components are then tested, by size and by parity sketches where
-they meet, and by the sets themselves if these let them pass. So no link between components goes unseen,
-and a group of near copies costs its size.
+makes components, and only pairs across components are then tested, by size and by parity sketches where they meet,
+and by the sets themselves if these let them pass. So no link between components goes unseen, and a group of near
+copies costs its size.
 
-A group of many sets across components, as texts round one boilerplate make, is split further: its sets' members are
+Groups in several components, as texts round one boilerplate make, are split further: their sets' members are
 ordered by how few sets have them, and two sets that link share one of the first members of both (the prefixes of
 Chaudhuri, Ganti and Kaushik, "A Primitive Operator for Similarity Joins in Data Cleaning", 2006, and the shorter ones
 of the smaller set of Xiao et al., "Efficient Similarity Joins for Near Duplicate Detection", 2008). What such texts have
@@ -49,8 +49,6 @@ ORDERS = 4
 SKETCH_LONGS = 16
 WIDE_LONGS = 64
 LARGE = 1200
-#: Nodes of a group across components above which its pairs are found by prefixes; either way finds all of them.
-CROWD = 48
 #: Bits of the map of nodes that share a signature: 4 MB, whatever the input.
 MAP_BITS = 1 << 25
 
@@ -373,10 +371,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """sig, node, c (component so far), k (nodes) of the groups of three and more nodes that are in several components."""
+    """node, c (component so far) of the groups of three and more nodes that are in several components."""
     known = shared.select("sig", "node").distinct().join(found, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
     some = known.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi and k > 2")
-    return known.join(some.select("sig", "k"), "sig")
+    return known.join(some.select("sig"), "sig", "left_semi").select("node", "c").distinct()
 
 
 def _prefix_pairs(crowd: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -424,17 +422,9 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     ends = [F.col("a_n").alias("na"), F.col("b_n").alias("nb")]
     links = _verified(pairs.where(_may_link("a", "b", percent)).select("a", "b", *ends), docs, width, percent)
     found = staged(connected_components(links))
-    # what is left: pairs across components are tested where they meet, by size and parity, and few leave the join
-    left = _open(shared, found)
-    crowded = left.where("k > " + str(CROWD)).select("node", "c").distinct()
-    crowd = staged(crowded.join(known, "node"))
-    left = left.where("k <= " + str(CROWD)).drop("k").join(known, "node")
-    pair = (F.col("a_sig") == F.col("b_sig")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
-    more = side(left, "a").join(side(left, "b"), pair & _may_link("a", "b", percent))
-    more = more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), *ends)
-    if not crowd.isEmpty():
-        more = more.union(_prefix_pairs(crowd, docs, width, percent))
-    more = more.distinct()
+    # what is left: pairs across components, among the sets of the groups that are in several
+    crowd = staged(_open(shared, found).join(known, "node"))
+    more = crowd.select(F.col("node").alias("a"), F.col("node").alias("b"), *[F.col("n").alias(c) for c in ("na", "nb")]).limit(0) if crowd.isEmpty() else _prefix_pairs(crowd, docs, width, percent)
     extra = _verified(more, docs, width, percent)
     if not extra.isEmpty():
         found = staged(connected_components(links.union(extra)))

@@ -59,8 +59,7 @@ def test_crowds(spark, monkeypatch, common, own, n):
     assert sum(tested) <= 20 * len(texts)
 
 
-def test_small_crowds_by_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CROWD", 3)
+def test_small_crowds(spark):
     rng = np.random.default_rng(2)
     texts = []
     for k in range(12):
