@@ -271,12 +271,12 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
     return small_batches(docs).select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows whose node is marked in a bitmap of ``nodes``: all that belong, and a few that do not.
+def _among(rows: DataFrame, nodes: DataFrame, on: str = "node") -> DataFrame:
+    """Rows whose node (or other ``on``) is marked in a bitmap of ``nodes``: all that belong, and a few that do not.
 
     The bitmap has a fixed size of 4 MB, which bounds the broadcast; a full one lets everything pass.
     """
-    place = F.pmod(F.xxhash64("node"), F.lit(MAP_BITS)) + 1
+    place = F.pmod(F.xxhash64(on), F.lit(MAP_BITS)) + 1
     marks = nodes.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
     bit = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -384,16 +384,19 @@ def _prefix_pairs(crowd: DataFrame, docs: DataFrame, width: int, percent: int) -
     those that only sets of one component have.
     """
     sets = _sets_of(crowd.select("node"), docs, width)
-    members = sets.join(crowd.select("node", "c"), "node").select("node", "c", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    spread = members.groupBy("s").agg(F.count(F.lit(1)).alias("f"), (F.min("c") < F.max("c")).alias("_two")).where("f > 1")
+    members = sets.join(crowd.select("node"), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    spread = staged(members.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1"))
     own = Window.partitionBy("node")
-    some = members.join(spread, "s").withColumn("_k", F.count(F.lit(1)).over(own)).withColumn("_r", F.row_number().over(own.orderBy("f", "s")))
-    place = F.col("n") - F.col("_k") + F.col("_r")
+    some = _among(members, spread.select("s"), "s").join(spread, "s").join(crowd.select("node", "n"), "node")
+    some = some.withColumn("_k", F.count(F.lit(1)).over(own)).withColumn("_r", F.row_number().over(own.orderBy("f", "s")))
+    some = some.withColumn("_at", F.col("n") - F.col("_k") + F.col("_r"))
     least = lambda share, whole: F.ceil(F.lit(share) * F.col("n") / F.lit(whole))
-    some = some.where(place <= F.col("n") - least(percent, 100) + 1)
-    some = some.where("_two").withColumn("_at", place).join(crowd.select("node", "sketch"), "node")
-    rows = staged(some.select("s", "node", "c", "n", "sketch", "_at", (F.col("_at") <= F.col("n") - least(2 * percent, 100 + percent) + 1).alias("first")))
-    unstage(sets)
+    some = some.where(F.col("_at") <= F.col("n") - least(percent, 100) + 1).join(crowd.select("node", "c", "sketch"), "node")
+    first = F.col("_at") <= F.col("n") - least(2 * percent, 100 + percent) + 1
+    rows = staged(some.select("s", "node", "c", "n", "sketch", "_at", first.alias("first")))
+    unstage(sets, spread)
+    two = rows.groupBy("s").agg((F.min("c") < F.max("c")).alias("_two")).where("_two").select("s")
+    every, rows = rows, rows.join(two, "s", "left_semi")
     side = lambda df, k: df.select("s", *[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "c", "n", "sketch", "_at")])
     a, b = side(rows.where("first"), "a"), side(rows, "b")
     ahead = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
@@ -405,7 +408,7 @@ def _prefix_pairs(crowd: DataFrame, docs: DataFrame, width: int, percent: int) -
         pairs = pairs.join(crowd.select(*[F.col(c).alias(k if c == "node" else f"{k}_{c}") for c in ("node", "n", "sketch", "wide")]), k)
     found = pairs.where(_may_link("a", "b", percent))
     out = staged(found.select("a", "b", F.col("a_n").alias("na"), F.col("b_n").alias("nb")))
-    unstage(rows)
+    unstage(every)
     return out
 
 
