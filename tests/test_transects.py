@@ -57,6 +57,19 @@ def test_wide_and_long(spark):
     assert back == {(r.date, r.transect_id): r.cross_distance for r in s.collect()}
 
 
+def test_wide_blocks_hold_more_transects_than_a_pivot(spark):
+    spark.conf.set("spark.sql.pivotMaxValues", "100")
+    s = spark.range(2500).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("date"), F.concat(F.lit("t"), F.floor(F.col("id") / 2)).alias("transect_id"), (F.col("id") / 4).alias("cross_distance"))
+    s = s.unionByName(spark.createDataFrame([(dt.date(2024, 1, 1), "none", None)], s.schema))
+    blocks = transects.wide_blocks(s, 300)
+    back = sorted(map(tuple, transects.long_blocks(blocks).collect()))
+    spark.conf.unset("spark.sql.pivotMaxValues")
+    assert back == sorted((r.date, r.transect_id, r.cross_distance) for r in s.collect() if r.cross_distance is not None)
+    rows = blocks.collect()
+    assert len(rows) == 5 * 7 and sum(len(r.transect_ids) for r in rows) == 1250 * 7
+    assert all(r.transect_ids == sorted(r.transect_ids) and len(r.transect_ids) == len(r.cross_distances) < 400 for r in rows)
+
+
 def test_partitions_do_not_matter(spark):
     points, lines, _, _ = frames(spark)
     rows = []
