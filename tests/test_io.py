@@ -146,3 +146,15 @@ def test_series_as_scenes_arrive_is_the_batch_result(spark, tmp_path):
         incremental.series_as_scenes_arrive(spark, src, schema, lines, out, ck, mode="max").awaitTermination()
     got = {(r.transect_id, r.date): r.cross_distance for r in spark.read.parquet(out).collect()}
     assert got == {(r.transect_id, r.date): r.cross_distance for r in cross_distance(points, lines, "max").collect()}
+
+
+def test_wide_csv_of_more_transects_than_a_pivot(spark, tmp_path):
+    spark.conf.set("spark.sql.pivotMaxValues", "100")
+    ids = F.when(F.col("id") == 8, 'a "b", c').otherwise(F.concat(F.lit("t"), F.floor(F.col("id") / 2)))
+    s = spark.range(5000).select(F.expr("timestamp'2024-01-01 10:00:00' + make_dt_interval(cast(id % 7 as int))").alias("dates"), ids.alias("transect_id"), (F.col("id") / 3).alias("cross_distance"))
+    writers.write_wide_csv(s, str(tmp_path / "wide"))
+    got = readers.wide_csv(spark, str(tmp_path / "wide")).select(F.col("dates").cast("timestamp"), "transect_id", "cross_distance")
+    spark.conf.unset("spark.sql.pivotMaxValues")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, s.collect()))
+    heads = [r.value for r in spark.read.text(str(tmp_path / "wide")).where("value like 'dates,%'").collect()]
+    assert len(heads) == 3 and sum('"a ""b"", c"' in h for h in heads) == 1
