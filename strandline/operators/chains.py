@@ -91,7 +91,7 @@ def _doubled(strands: DataFrame) -> tuple[DataFrame, DataFrame]:
         if t.where("pr is not null").isEmpty():
             break
         far = t.select("scene_id", F.col("hr").alias("pr"), F.col("hc").alias("pc"), F.col("pr").alias("_pr"), F.col("pc").alias("_pc"), F.col("ahead").alias("_ahead"), F.col("low").alias("_low"), F.col("lr").alias("_lr"), F.col("lc").alias("_lc"))
-        step = t.where("pr is not null").join(far, ["scene_id", "pr", "pc"])
+        step = t.where("pr is not null").join(far.hint("merge"), ["scene_id", "pr", "pc"])
         step = step.select(*HEAD, F.col("_pr").alias("pr"), F.col("_pc").alias("pc"), (F.col("ahead") + F.col("_ahead")).alias("ahead"), F.least("low", "_low").alias("low"), F.col("_lr").alias("lr"), F.col("_lc").alias("lc"))
         after = staged(step.unionByName(t.where("pr is null")))
         unstage(t)
@@ -118,13 +118,13 @@ def ordered(segs: DataFrame, tile: int = 256, chunk: int = CHUNK) -> DataFrame:
     end = F.struct(F.col("tail.r1").alias("r"), F.col("tail.c1").alias("c"), F.lit(None).cast("long").alias("hr"), F.lit(None).cast("long").alias("hc"), F.lit(None).cast("long").alias("k"))
     heads = strands.where("not ring").select("scene_id", F.col("hr").alias("pr"), F.col("hc").alias("pc"))
     open_ = strands.where("not ring").withColumns({"_r": F.col("tail.r1"), "_c": F.col("tail.c1")})
-    linked = open_.join(heads, (open_["scene_id"] == heads["scene_id"]) & (open_["_r"] == heads["pr"]) & (open_["_c"] == heads["pc"]), "left").select(open_["*"], "pr", "pc")
+    linked = open_.join(heads.hint("merge"), (open_["scene_id"] == heads["scene_id"]) & (open_["_r"] == heads["pr"]) & (open_["_c"] == heads["pc"]), "left").select(open_["*"], "pr", "pc")
     linked = staged(linked.withColumn("low", F.when(F.col("pr").isNull(), F.least("low", end)).otherwise(F.col("low"))).drop("_r", "_c", "tail"))
     ended, rings = _doubled(linked)
     lines = [ended.select(*HEAD, "ahead", "low", "lr", "lc", F.lit(False).alias("ring"))]
     if not rings.isEmpty():
         whole = rings.select(*HEAD, F.col("low").alias("_low"))
-        cut = linked.join(whole, HEAD)
+        cut = linked.join(whole.hint("merge"), HEAD)
         here = (F.col("pr") == F.col("_low.hr")) & (F.col("pc") == F.col("_low.hc"))
         cut = cut.withColumns({"low": F.col("_low"), "pr": F.when(~here, F.col("pr")), "pc": F.when(~here, F.col("pc"))}).drop("_low")
         again, left = _doubled(cut)
@@ -133,11 +133,11 @@ def ordered(segs: DataFrame, tile: int = 256, chunk: int = CHUNK) -> DataFrame:
         lines.append(again.select(*HEAD, "ahead", "low", "lr", "lc", F.lit(True).alias("ring")))
     rank = lines[0] if len(lines) == 1 else lines[0].unionByName(lines[1])
     total = rank.groupBy("scene_id", "lr", "lc").agg(F.max("ahead").alias("length"), F.min("low").alias("low"))
-    rank = rank.drop("low").join(total, ["scene_id", "lr", "lc"]).select(*HEAD, (F.col("length") - F.col("ahead")).alias("offset"), "length", "low", "ring")
+    rank = rank.drop("low").join(total.hint("merge"), ["scene_id", "lr", "lc"]).select(*HEAD, (F.col("length") - F.col("ahead")).alias("offset"), "length", "low", "ring")
     closed = strands.where("ring").select(*HEAD, F.lit(0).cast("long").alias("offset"), F.col("n").alias("length"), "low", "ring")
     rank = staged(rank.unionByName(closed))
     unstage(strands, linked)
     place = F.col("offset") + F.col("k")
     seq = F.when(F.col("ring"), F.pmod(place - F.coalesce("low.k", F.lit(0)), "length")).otherwise(place)
-    out = own.drop("ring").join(rank, HEAD)
+    out = own.drop("ring").join(rank.hint("merge"), HEAD)
     return out.select("scene_id", "r0", "c0", "r1", "c1", F.struct("low.r", "low.c").alias("low"), seq.alias("seq"), "length", "ring")

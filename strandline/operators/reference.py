@@ -65,7 +65,8 @@ def line_buffer(lines: DataFrame, grids: DataFrame, tiles: DataFrame, max_dist:
     s = s.withColumn("_cy", span(F.least(*piece["y"]) - max_dist, F.greatest(*piece["y"]) + max_dist)).select("epsg", "_cx", "_cy", "x0", "y0", "x1", "y1").distinct()
     t = _tile_boxes(tiles, grids, tile)
     t = t.withColumn("_cx", span(F.col("_minx"), F.col("_maxx"))).withColumn("_cy", span(F.col("_miny"), F.col("_maxy")))
-    both = t.join(s, ["epsg", "_cx", "_cy"]).select("scene_id", "_tr", "_tc", "g", "x0", "y0", "x1", "y1").distinct()
+    # segments are many rows of a small table: they meet the tiles by shuffle
+    both = t.join(s.hint("merge"), ["epsg", "_cx", "_cy"]).select("scene_id", "_tr", "_tc", "g", "x0", "y0", "x1", "y1").distinct()
     kind = tiles.schema["scene_id"].dataType.simpleString()
 
     def draw(key: tuple, table: pa.Table) -> pa.Table:
@@ -107,7 +108,7 @@ def vertex_buffer(lines: DataFrame, grids: DataFrame, tiles: DataFrame, max_dist
     here = v.withColumn("_cx", F.floor(F.col("x") / CELL)).withColumn("_cy", F.floor(F.col("y") / CELL))
     t = _tile_boxes(tiles, grids, tile)
     t = t.withColumn("_cx", span(F.col("_minx") - max_dist, F.col("_maxx") + max_dist)).withColumn("_cy", span(F.col("_miny") - max_dist, F.col("_maxy") + max_dist))
-    both = t.join(here, ["epsg", "_cx", "_cy"])
+    both = t.join(here.hint("merge"), ["epsg", "_cx", "_cy"])
     row, col = geo.world_to_pixel("x", "y", [F.col("g")[k] for k in range(6)])
     marks = both.select("scene_id", F.round(row).cast("long").alias("row"), F.round(col).cast("long").alias("col"), F.ceil(max_dist / F.abs(F.col("g")[1])).cast("int").alias("_r")).distinct()
     radii = [r._r for r in marks.select("_r").distinct().collect()]  # one for each pixel size

@@ -70,3 +70,13 @@ def test_shorelines_near_the_line_only(spark):
     assert got and {r.x for r in got} == {500000 + 14.5 * 3} and max(abs(r.y - 3999970) for r in got) <= 21.5 and len(got) < 20
     with pytest.raises(ValueError):
         contours.shorelines(labels, mask, GRIDS[0][1], reference=lines)
+
+
+def test_segments_are_never_broadcast(spark):
+    from strandline.operators import reference
+
+    lines = spark.createDataFrame([(0, 0, -75.0, 36.0), (0, 1, -74.99, 36.0)], "line_id int, seq int, lon double, lat double")
+    grids = spark.createDataFrame([(1, [500000.0, 3.0, 0.0, 3984000.0, 0.0, -3.0], 32618)], "scene_id int, georef array<double>, epsg int")
+    tiles = spark.createDataFrame([(1, 0, 0)], "scene_id int, _tr long, _tc long")
+    plan = reference.line_buffer(lines, grids, tiles)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [epsg" in plan
