@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
-from strandline.functions.staging import staged
+from strandline.functions.staging import dealt, staged, tasks_for
 from strandline.operators import chains, distance, masks
 from strandline.operators import reference as reference_lines
 from strandline.operators.components import patches
@@ -35,23 +35,26 @@ SEGMENTS = {
 }
 
 
-def cells(grid: DataFrame, value: str = "value") -> DataFrame:
+def cells(grid: DataFrame, value: str = "value", tasks: int | None = None) -> DataFrame:
     """scene_id, row, col, case of each 2 x 2 cell with values at all four corners (column value, null for none).
 
-    A corner is high above 0.5. Windows run along one pixel row and one pixel column of a scene.
+    A corner is high above 0.5. Windows run along one pixel row and one pixel column of a scene, in ``tasks`` tasks where
+    that is given.
     """
+    deal = lambda df, *by: df.repartition(tasks, *by) if tasks else df
     v = F.col(value)
-    g = grid.select("scene_id", "row", "col", (v > 0.5).cast("int").alias("ul"))
+    g = deal(grid.select("scene_id", "row", "col", (v > 0.5).cast("int").alias("ul")), "scene_id", "row")
     right = Window.partitionBy("scene_id", "row").orderBy("col")
     nxt = F.lead(F.struct("col", "ul")).over(right)
     g = g.withColumn("_n", nxt).withColumn("ur", F.when(F.col("_n.col") == F.col("col") + 1, F.col("_n.ul"))).drop("_n")
+    g = deal(g, "scene_id", "col")
     down = Window.partitionBy("scene_id", "col").orderBy("row")
     g = g.withColumn("_d", F.lead(F.struct("row", "ul", "ur")).over(down)).where(F.col("_d.row") == F.col("row") + 1)
     case = F.col("ul") + 2 * F.col("ur") + 4 * F.col("_d.ul") + 8 * F.col("_d.ur")
     return g.select("scene_id", "row", "col", case.alias("case")).where("case is not null")
 
 
-def segments(grid: DataFrame, value: str = "value") -> DataFrame:
+def segments(grid: DataFrame, value: str = "value", tasks: int | None = None) -> DataFrame:
     """scene_id and directed segments (r0, c0) -> (r1, c1) in doubled pixel coordinates, which are whole."""
     r, k = F.col("row") * 2, F.col("col") * 2
     ends = {"T": (r, k + 1), "B": (r + 2, k + 1), "L": (r + 1, k), "R": (r + 1, k + 2)}
@@ -64,7 +67,7 @@ def segments(grid: DataFrame, value: str = "value") -> DataFrame:
     for case, parts in SEGMENTS.items():
         arr = F.array(*[piece(s) for s in parts])
         out = F.when(F.col("case") == case, arr) if out is None else out.when(F.col("case") == case, arr)
-    return cells(grid, value).where(F.col("case").between(1, 14)).select("scene_id", F.explode(out).alias("s")).select("scene_id", "s.*")
+    return cells(grid, value, tasks).where(F.col("case").between(1, 14)).select("scene_id", F.explode(out).alias("s")).select("scene_id", "s.*")
 
 
 def chained(segs: DataFrame, tile: int = 256, chunk: int = chains.CHUNK) -> DataFrame:
@@ -93,7 +96,7 @@ def long_enough(vertices: DataFrame, least: float, by: list[str], seq: str = "se
     w = Window.partitionBy(*by).orderBy(seq)
     step = geo.distance(F.lag("x").over(w), F.lag("y").over(w), "x", "y")
     keep = vertices.withColumn("_d", step).groupBy(*by).agg(F.sum("_d").alias("_l"), F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= 2) & (F.col("_l") >= least))
-    return vertices.join(keep.select(*by), by, "left_semi")
+    return vertices.join(keep.select(*by).hint("merge"), by, "left_semi")
 
 
 def shorelines(
@@ -128,21 +131,22 @@ def shorelines(
     if not isinstance(georef, DataFrame) and (epsg is not None or reference is not None):
         raise ValueError("an output projection and a reference line need each scene's own: give georef as a table")
     key = ["scene_id", "row", "col"]
-    flag = labels.join(mask.select(*key, "shadow", "cloud", "nodata"), key).select(*key, (~is_water("label", list(water))).alias("land"), (F.col("cloud") | F.col("shadow")).alias("cloud"), "nodata")
+    tasks = tasks_for(labels)
+    flag = dealt(labels, tasks, *key).join(dealt(mask.select(*key, "shadow", "cloud", "nodata"), tasks, *key), key).select(*key, (~is_water("label", list(water))).alias("land"), (F.col("cloud") | F.col("shadow")).alias("cloud"), "nodata")
     flag = staged(flag)
     if least_patch > 1:
-        land = patches(flag.where("land").select(*key), least_patch).select(*key, F.lit(True).alias("_big"))
-        flag = flag.join(land, key, "left").withColumn("land", F.coalesce("_big", F.lit(False))).drop("_big")
+        land = patches(flag.where("land").select(*key), least_patch, tasks=tasks).select(*key, F.lit(True).alias("_big"))
+        flag = dealt(flag, tasks, *key).join(dealt(land, tasks, *key), key, "left").withColumn("land", F.coalesce("_big", F.lit(False))).drop("_big")
     value = F.when(~(F.col("cloud") | F.col("nodata")), F.col("land").cast("double"))
     grid = flag.select(*key, value.alias("value"))
     if reference is not None:
         near = reference_lines.line_buffer(reference, georef, reference_lines.tiles_of(flag), reference_dist)
-        grid = grid.join(near.withColumn("_in", F.lit(True)), key, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
+        grid = dealt(grid, tasks, *key).join(dealt(near.withColumn("_in", F.lit(True)), tasks, *key), key, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
     if buffer is not None:
         by = [c for c in key if c in buffer.columns]
-        grid = grid.join(buffer.select(*by).distinct().withColumn("_in", F.lit(True)), by, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
+        grid = dealt(grid, tasks, *by).join(dealt(buffer.select(*by).distinct().withColumn("_in", F.lit(True)), tasks, *by), by, "left").withColumn("value", F.when(F.col("_in"), F.col("value"))).drop("_in")
     line = ["scene_id", "contour_id", "part"]
-    v = clean(masks.in_world(chained(segments(grid)), georef, [*line, "seq", "row", "col"]), line)
+    v = clean(masks.in_world(chained(segments(grid, tasks=tasks)), georef, [*line, "seq", "row", "col"]), line)
     v = long_enough(v, least_length, line)
     v = _away(v, flag, georef, {"nodata": nodata_dist, "cloud": cloud_dist})
     v = long_enough(v, least_length, line)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as geo
+from strandline.functions.staging import dealt, staged, tasks_for
 from strandline.operators import distance
 from strandline.operators.spatial_join import cell
 
@@ -53,9 +54,11 @@ def without_specks(pixels: DataFrame, flag: str, least: int = 40) -> DataFrame:
     """Connected patches of under ``least`` true pixels become false, in scenes that have both values."""
     from strandline.operators.components import patches
 
-    big = patches(pixels.where(F.col(flag)).select("scene_id", "row", "col"), least=least).select("scene_id", "row", "col", F.lit(True).alias("_big"))
+    pixels, key = staged(pixels), ["scene_id", "row", "col"]
+    tasks = tasks_for(pixels)
+    big = patches(pixels.where(F.col(flag)).select(*key), least=least, tasks=tasks).select("scene_id", "row", "col", F.lit(True).alias("_big"))
     mixed = pixels.groupBy("scene_id").agg((F.min(F.col(flag).cast("int")) < F.max(F.col(flag).cast("int"))).alias("_mixed"))
-    out = pixels.join(big, ["scene_id", "row", "col"], "left").join(mixed, "scene_id")
+    out = dealt(pixels, tasks, *key).join(dealt(big, tasks, *key), key, "left").join(mixed, "scene_id")
     return out.withColumn(flag, F.when(F.col("_mixed"), F.coalesce("_big", F.lit(False))).otherwise(F.col(flag))).drop("_big", "_mixed")
 
 
@@ -77,11 +80,11 @@ def opened(pixels: DataFrame, flag: str, size: int = 6, tile: int = 256) -> Data
     """Binary opening by a ``size`` x ``size`` square: a pixel stays true if some all-true square covers it.
 
     Erosion and dilation are window frames over row and column, one after the other, inside tiles with a
-    halo, so a partition holds a tile's row or column and never a whole scene. Pixels outside the scene
-    count as true when eroding, as in image libraries, which the frames' ends give by themselves.
+    halo, so a partition holds tiles and never a whole scene. Pixels outside the scene count as true when
+    eroding, as in image libraries, which the frames' ends give by themselves.
     """
     key = ["scene_id", "_tr", "_tc"]
-    t = _tiled(pixels.withColumn("_v", F.col(flag).cast("int")), tile, 2 * size)
+    t = _tiled(pixels.withColumn("_v", F.col(flag).cast("int")), tile, 2 * size).repartition(tasks_for(pixels), *key)
     along = lambda a, b: Window.partitionBy(*key, a).orderBy(b).rangeBetween
     t = t.withColumn("_v", F.min("_v").over(along("row", "col")(0, size - 1)))
     t = t.withColumn("_v", F.min("_v").over(along("col", "row")(0, size - 1)))

@@ -179,3 +179,18 @@ def test_shorelines_by_each_scenes_own_grid_come_out_in_one_projection(spark):
         assert np.allclose([(r.x, r.y) for r in got], [(r.x, r.y) for r in want], atol=1e-3)
     with pytest.raises(ValueError):
         contours.shorelines(lab, udm, refs[0][0], epsg=32618)
+
+
+def test_pixels_are_dealt_by_rows_and_not_broadcast(spark, monkeypatch):
+    from strandline.functions import staging
+    from strandline.operators import components, masks
+
+    assert [staging.tasks_for(spark.range(n), 10) for n in (0, 10, 11)] == [1, 1, 2]
+    for module in (components, masks):
+        monkeypatch.setattr(module, "tasks_for", lambda df: 7)
+    p = spark.range(400).selectExpr("1 AS scene_id", "cast(id div 20 as int) AS row", "cast(id % 20 as int) AS col", "id % 20 < 3 AS cloud")
+    out = masks.without_specks(masks.opened(p, "cloud", 2).unionByName(p.limit(0)), "cloud", 40)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(scene_id" in plan and ", 7)" in plan and "SortMergeJoin [scene_id" in plan
+    assert out.where("cloud").count() == 60
+    assert components.patches(p.where("cloud").union(p.where("cloud"))).groupBy("size").count().collect() == [(60, 60)]
