@@ -123,3 +123,11 @@ def test_scene_cloud_cover_by_brute_force(spark, tmp_path):
     want = {s: round(float(_without(raw[s], 40).mean()), 3) for s in range(3)}
     got = {r.scene_id: r.cloud_cover for r in shore.QUERIES["scene_cloud_cover"](spark, str(tmp_path)).collect()}
     assert got == want and want[0] > 0 and all(want[s] < raw[s].mean() - 0.02 for s in (0, 1))
+
+
+def test_a_long_shore_comes_back_from_its_zones(spark, tmp_path):
+    rows = [(k * 997, k, 1, 5.0) for k in range(400)]
+    df = spark.createDataFrame(rows, "l_suppkey long, l_partkey long, l_linenumber int, l_quantity double")
+    df.selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = shore.QUERIES["utm_roundtrip"](spark, str(tmp_path))
+    assert got.count() == 400 and got.where("back").count() == 400
