@@ -96,3 +96,13 @@ def test_verdicts(spark):
     assert {r.im_paths: r.im_classes for r in merged.collect()} == {"a": "old", "b": "bad", "c": "bad"}
     assert sorted(r.im_paths for r in quality.not_yet_scored(df, old).collect()) == ["b", "c"]
     assert [r.im_paths for r in quality.good(v).collect()] == ["a"]
+
+
+def test_coverage_tells_far_footprints_by_their_box(spark):
+    from strandline.operators import scenes
+
+    square = lambda x: [(x, 0.0), (x + 1.0, 0.0), (x + 1.0, 1.0), (x, 1.0)]
+    items = spark.createDataFrame([(0, square(0.0)), (1, square(0.4)), (2, square(0.6)), (3, square(1.0)), (4, None)], "scene_id int, ring array<struct<x: double, y: double>>")
+    found = scenes.polygon_coverage(items, square(0.0))
+    assert {r.scene_id: round(r.area, 9) for r in found.collect()} == {0: 1.0, 1: 0.6}
+    assert "flatten" not in found._jdf.queryExecution().optimizedPlan().toString()
