@@ -61,17 +61,35 @@ def _placed(edges: DataFrame, s: float, level: int, within: tuple[Column, Column
 
 
 def cells(parts: DataFrame, size: float) -> DataFrame:
-    """The edges by cell (level, cx, cy); a cell with more than ``FULL`` edges gives way to its quarters."""
-    now, done = staged(_placed(_edges(parts), size, 0)), []
-    for level in range(1, DEEPEST + 1):
-        full = now.groupBy(*CELL).count().where(F.col("count") > FULL).select(*CELL)
-        if full.isEmpty():
+    """The edges by cell (level, cx, cy); a cell with more than ``FULL`` edges gives way to its quarters.
+
+    All edges of a part that run over the whole of a cell tell by their number whether the part covers the cell or
+    leaves it out. A cell that some part covers keeps that part alone, and any cell loses the parts that leave it out,
+    so what is quartered is crossed by outlines and covered by no single part, however deep parts lie on each other.
+    """
+    now, done = _placed(_edges(parts), size, 0), []
+    for level in range(DEEPEST + 1):
+        now, s = staged(now), size / 2**level
+        at = lambda x: F.col("y0") + (x - F.col("x0")) * (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))
+        left, right, top = F.col("cx") * s, (F.col("cx") + 1) * s, (F.col("cy") + 1) * s
+        over = (F.col("x0") <= left) & (F.col("x1") >= right) & (F.least(at(left), at(right)) >= top)
+        each = now.groupBy(*CELL, "region_id", "part").agg(F.bool_and(over).alias("_over"), F.count(F.lit(1)).alias("_n"))
+        own = F.struct("region_id", "part")
+        whole = F.min(F.when(F.col("_over") & (F.col("_n") % 2 == 1), own)).alias("_whole")
+        told = each.join(each.groupBy(*CELL).agg(whole, F.sum(F.when(~F.col("_over"), F.col("_n"))).alias("_edges")), CELL)
+        wanted = F.when(F.col("_whole").isNotNull(), own.eqNullSafe(F.col("_whole"))).otherwise(~F.col("_over"))
+        split = F.col("_whole").isNull() & (F.col("_edges") > FULL) & F.lit(level < DEEPEST)
+        told = staged(told.where(wanted).select(*CELL, "region_id", "part", split.alias("_split")))
+        same = [now[c].eqNullSafe(told[c]) for c in (*CELL, "region_id", "part")]
+        kept = now.join(told, same).select(*[now[c] for c in now.columns], "_split")
+        done.append(kept.where("not _split").drop("_split"))
+        if told.where("_split").isEmpty():
             break
-        done.append(now.join(full, CELL, "left_anti"))
-        now = staged(_placed(now.join(full, CELL, "left_semi"), size / 2**level, level, (F.col("cx"), F.col("cy"))))
-    for other in done:
-        now = now.unionByName(other)
-    return now
+        now = _placed(kept.where("_split").drop("_split"), s / 2, level + 1, (F.col("cx"), F.col("cy")))
+    out = done[0]
+    for other in done[1:]:
+        out = out.unionByName(other)
+    return out
 
 
 def union_in_cell(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, part: np.ndarray, box: tuple[float, float, float, float]) -> list[tuple[float, ...]]:

@@ -80,6 +80,18 @@ def test_trapezoids_do_not_overlap_and_copies_cost_nothing(spark):
     assert [r.area for r in overlay.covered_area(footprints(spark, [box(0, 0, 1, 1)]), none, 1.0).collect()] == [0.0]
 
 
+def test_parts_that_lie_deep_on_each_other(spark, monkeypatch):
+    monkeypatch.setattr(overlay, "FULL", 40)
+    monkeypatch.setattr(overlay, "DEEPEST", 9)
+    rng = np.random.default_rng(5)
+    regions = [(k % 3, k, [(x - 1.5, y), (x, y - 1.2), (x + 1.5, y), (x, y + 1.2)]) for k, (x, y) in enumerate(rng.uniform(-0.4, 0.4, (150, 2)))]
+    found = overlay.cells(overlay.parts_of(table(spark, regions)), 4.0)
+    assert found.count() < 30_000 and found.agg(F.max("level")).first()[0] < 9
+    rings = [box(-2, -2, 2.5, 1), box(-0.5, -0.5, 0.5, 0.5)]
+    got = areas(spark, regions, rings, 4.0)
+    assert abs(got[0] - covered(regions, rings[0], 2000)) < 1e-2 and abs(got[1] - 1) < 1e-9
+
+
 def test_share_of_all_regions(spark):
     regions = table(spark, [(0, 0, box(0, 0, 1, 1)), (1, 0, box(0, 0, 1, 1)), (2, 5, box(4, 4, 5, 5))])
     items = footprints(spark, [box(0, 0, 2, 2), box(0, 0, 5, 5)])
