@@ -73,3 +73,49 @@ def test_small_crowds(spark):
     for width, percent in ((4, 85), (5, 80), (1, 70)):
         got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs, width, percent).collect()}
         assert [got[i] for i in range(len(texts))] == plain(texts, width, percent)
+
+
+def test_common_passages_make_no_crowd(spark, monkeypatch):
+    """Texts that have some passages in common, but far too few for a link, are left out before their sets are read."""
+    rng = np.random.default_rng(6)
+    passages = [" ".join(f"p{k}x{i}" for i in range(8)) for k in range(40)]
+    texts = []
+    for k in range(200):
+        parts = [" ".join(f"t{k}x{j}y{i}" for i in range(28)) for j in range(12)]
+        texts.append(" ".join(x for own, p in zip(parts, rng.choice(40, 12, replace=False), strict=True) for x in (own, passages[p])))
+    for k in range(20):
+        words = texts[k].split(" ")
+        for i in rng.choice(len(words), k % 6, replace=False):
+            words[i] = f"z{k}z{i}"
+        texts.append(" ".join(words))
+    crowds = []
+    pairs = jaccard._prefix_pairs
+
+    def counted(crowd, *rest):
+        crowds.append(crowd.count())
+        return pairs(crowd, *rest)
+
+    monkeypatch.setattr(jaccard, "_prefix_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs, 4, 85).collect()}
+    assert [got[i] for i in range(len(texts))] == plain(texts, 4, 85)
+    assert sum(crowds) <= 20
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_similar_sets_share_as_many_signatures_as_needed(percent):
+    rng = np.random.default_rng(percent)
+    for n in [1, 3, 7, 9, 14, 22, 30, 51, 77, 150, 333, 1400]:
+        for _ in range(40):
+            x = rng.integers(0, 2**63, n, dtype=np.uint64)
+            most = 2 * n * (100 - percent) // (100 + percent)
+            gone = int(rng.integers(0, most // 2 + 1))
+            y = np.concatenate([x[gone:], rng.integers(0, 2**63, int(rng.integers(0, most - gone + 1)), dtype=np.uint64)])
+            u = len(set(x) | set(y))
+            if not len(y) or 100 * (n - gone) < percent * u or set(x) == set(y):
+                continue
+            both, at = np.concatenate([np.sort(x), np.sort(y)]), np.array([0, n, n + len(y)])
+            row, sig = jaccard.signatures(both, at, percent)
+            common = np.array(list(set(sig[row == 0]) & set(sig[row == 1])))
+            enough = [(common < 0).sum(), (common >= 0).sum()][::-1] >= jaccard.needs(both, at, percent)
+            assert enough.any(1).all(), (n, len(y), gone)
