@@ -20,6 +20,9 @@ from strandline.operators.graph import codes
 #: Edges in a cell above which it is quartered, and how often at most.
 FULL, DEEPEST = 400, 20
 
+#: Edges in a box above which a task quarters it by itself, and how often at most.
+SWEPT, HALVED = 24, 12
+
 CELL = ["level", "cx", "cy"]
 
 
@@ -92,19 +95,58 @@ def cells(parts: DataFrame, size: float) -> DataFrame:
     return out
 
 
-def union_in_cell(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, part: np.ndarray, box: tuple[float, float, float, float]) -> list[tuple[float, ...]]:
+def union_in_cell(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, part: np.ndarray, box: tuple[float, float, float, float], deep: int = HALVED) -> list[tuple[float, ...]]:
     """Trapezoids (xa, xb, la, lb, ua, ub) that make up, without overlap, what all parts cover of the box (left, bottom,
-    right, top). A part covers what lies below an odd number of its edges; upright stretches between breaks of x,
-    in which no two edges cross, are cut by the edges and joined where the same two edges bound them."""
+    right, top). A part covers what lies below an odd number of its edges. A box that one part covers is one trapezoid,
+    parts that leave the box out go; a box that more than ``SWEPT`` edges are left in is quartered, at most ``deep``
+    times, and whole quarters are joined again. So edges deep under other parts cost next to nothing."""
+    left, bottom, right, top = box
+    a, b = np.maximum(x0, left), np.minimum(x1, right)
+    slope = (y1 - y0) / (x1 - x0)
+    ya, yb = y0 + (a - x0) * slope, y0 + (b - x0) * slope
+    used = np.flatnonzero((a < b) & (np.maximum(ya, yb) > bottom))  # what lies below the box is above none of it
+    if not len(used):
+        return []
+    own = np.unique(part[used], return_inverse=True)[1]
+    n = int(own.max()) + 1
+    crossed = np.bincount(own, np.minimum(ya, yb)[used] < top, n) > 0
+    xs = np.unique(np.r_[left, right, a[used], b[used]])
+    turns = np.zeros((n, len(xs)), np.int64)
+    np.add.at(turns, (own, np.searchsorted(xs, a[used])), 1)
+    np.add.at(turns, (own, np.searchsorted(xs, b[used])), -1)
+    odd = np.cumsum(turns, 1)[:, :-1] % 2 == 1  # of the edges above, by stretch of x
+    if (~crossed & odd.all(1)).any():
+        return [(left, right, bottom, bottom, top, top)]
+    used = used[(crossed | odd.any(1))[own]]
+    if not len(used):
+        return []
+    x0, y0, x1, y1, part = x0[used], y0[used], x1[used], y1[used], part[used]
+    if len(used) <= SWEPT or not deep:
+        return _swept(x0, y0, x1, y1, part, box)
+    x, y = (left + right) / 2, (bottom + top) / 2
+    boxes = [(left, bottom, x, y), (x, bottom, right, y), (left, y, x, top), (x, y, right, top)]
+    found = [union_in_cell(x0, y0, x1, y1, part, quarter, deep - 1) for quarter in boxes]
+    if all(f == [(q[0], q[2], q[1], q[1], q[3], q[3])] for f, q in zip(found, boxes, strict=True)):
+        return [(left, right, bottom, bottom, top, top)]
+    return [t for f in found for t in f]
+
+
+def _swept(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, part: np.ndarray, box: tuple[float, float, float, float]) -> list[tuple[float, ...]]:
+    """The same by a sweep: upright stretches between breaks of x, in which no two edges cross, are cut by the edges and
+    joined where the same two edges bound them."""
     left, bottom, right, top = box
     slope = (y1 - y0) / (x1 - x0)
-    breaks = [np.array([left, right]), x0, x1]
+    breaks, near = [np.array([left, right]), x0, x1], 1e-9 * (top - bottom)
     with np.errstate(divide="ignore", invalid="ignore"):
         for level in (bottom, top):
-            breaks.append(x0 + (level - y0) / slope)
+            x = x0 + (level - y0) / slope
+            breaks.append(x[(x > x0) & (x < x1)])
         for i in range(len(x0) - 1):
             d = slope[i] - slope[i + 1 :]
-            breaks.append(((y0[i + 1 :] - slope[i + 1 :] * x0[i + 1 :]) - (y0[i] - slope[i] * x0[i])) / d)
+            x = ((y0[i + 1 :] - slope[i + 1 :] * x0[i + 1 :]) - (y0[i] - slope[i] * x0[i])) / d
+            y = y0[i] + (x - x0[i]) * slope[i]
+            met = (x > np.maximum(x0[i], x0[i + 1 :])) & (x < np.minimum(x1[i], x1[i + 1 :])) & (y >= bottom - near) & (y <= top + near)
+            breaks.append(x[met])
     xs = np.unique(np.concatenate(breaks))
     xs = xs[np.isfinite(xs) & (xs >= left) & (xs <= right)]
     out, open_ = [], {}

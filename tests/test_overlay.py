@@ -1,5 +1,7 @@
 """Footprints inside a table of regions: overlaps, parts, holes, copies, crowded cells, against counting a fine grid."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +103,28 @@ def test_share_of_all_regions(spark):
     assert clip.plain_area([box(0, 0, 4, 4), box(0, 1, 1, 2)]) == 15
     two = footprints(spark, [box(-1, -1, 9, 9)]).select(clip.clipped_area([box(0, 0, 4, 4), box(1, 1, 2, 2)])("ring").alias("a"), F.lit(1)).first()
     assert abs(two.a - 15) < 1e-12
+
+
+@pytest.mark.parametrize("deep", [overlay.HALVED, 2])
+def test_a_cell_with_many_parts_deep_on_each_other(monkeypatch, deep):
+    """Each pair of edges was a break of x before, and each break a round over all edges: this many did not end."""
+    began, swept, plain = time.monotonic(), [], overlay._swept
+    monkeypatch.setattr(overlay, "_swept", lambda *a: swept.append(len(a[0])) or plain(*a))
+    rng = np.random.default_rng(8)
+    n = 1500 if deep > 2 else 150
+    regions = []
+    for k, (x, y) in enumerate(rng.uniform(-0.2, 1.2, (n, 2))):
+        if (x - 0.5) ** 2 + (y - 0.4) ** 2 < 0.2:
+            continue  # leaves a hole in the middle
+        a, b = rng.uniform(0.05, 0.11), rng.uniform(0.04, 0.08)
+        regions.append((0, k, [(x - a, y), (x, y - b), (x + a, y), (x, y + b)]))
+        if k % 4 == 0:
+            regions.append((0, k, [(x - 0.01, y), (x, y - 0.01), (x + 0.01, y), (x, y + 0.01)]))
+        if k % 50 == 0:
+            regions.append((0, n + k, box(x, y, x + 0.05, y + 0.03)))
+    ends = np.array([(*min(p, q), *max(p, q), part) for _, part, ring in regions for p, q in zip(ring, [*ring[1:], ring[0]], strict=True) if p[0] != q[0]])
+    found = overlay.union_in_cell(*ends.T[:4], ends[:, 4], (0.0, 0.0, 1.0, 1.0), deep)
+    area = sum((xb - xa) * (ua - la + ub - lb) / 2 for xa, xb, la, lb, ua, ub in found)
+    assert abs(area - covered(regions, box(0, 0, 1, 1), 1500)) < 2e-3
+    assert deep == 2 or max(swept) <= overlay.SWEPT
+    assert time.monotonic() - began < 90
